@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def stop_gracefully(query: StreamingQuery, timeout: float = 60.0, marker: str | None = None,
-                    poll: float = 0.1) -> bool:
+                    poll: float = 0.05) -> bool:
     """Stop between two micro-batches, and only once the marker file exists if one is named.
 
     False when the timeout passed first; the query then still runs.
