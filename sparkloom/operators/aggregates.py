@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.joins import null_safe_join
+from sparkloom.operators.joins import join_aggregate, null_safe_join
 from sparkloom.operators.positions import group_row_number
 
 
@@ -35,7 +35,7 @@ def share_of_group(df: DataFrame, outer: str, inner: str) -> DataFrame:
 
 def with_share_of_group(df: DataFrame, outer: str, inner: str) -> DataFrame:
     """Every row with its two group counts and the share: the distributed form of two count windows."""
-    return null_safe_join(df, share_of_group(df, outer, inner), [outer, inner])
+    return join_aggregate(df, share_of_group(df, outer, inner), [outer, inner])
 
 
 def collect_list_chunked(df: DataFrame, keys: list[str], value: str, order: list[Column | str],

@@ -5,9 +5,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.scratch import freeze
+
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -58,16 +60,30 @@ def cartesian(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_on: Sequence[str],
-                salts: int = 16, how: str = "inner") -> DataFrame:
-    """Equi join that spreads each left key over `salts` tasks; right rows are repeated per salt.
+                salts: int = 16, how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
+    """Equi join that spreads the left rows of hot keys over `salts` tasks.
 
-    The salt is a hash of left columns, so a re-run task makes the same choice. `how` may be
-    inner, left, left_semi or left_anti (every left row meets exactly one copy of its matches).
+    A key is hot when it has more than `hot_rows` left rows, so there are at most rows / hot_rows of
+    them. Only their right rows are repeated, once per salt; rows with a null key match nothing and are
+    spread as well. The salt is a hash of left columns, so a re-run task makes the same choice. `how`
+    may be inner, left, left_semi or left_anti: every left row meets one copy of each match.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting the left side cannot do a {how} join")
-    salted = left.withColumn("__salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
-    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    keys = list(keys)
+    hot = (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+               .filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot")))
+    hot = freeze(left.sparkSession, hot, "hot-keys")
+    any_null = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    spread = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
+
+    salted = (left.join(broadcast_if_small(hot), keys, "left")
+                  .withColumn("__salt", F.when(F.col("__hot") | any_null, spread).otherwise(0))
+                  .drop("__hot"))
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = (right.join(broadcast_if_small(hot), keys, "left")
+                   .withColumn("__salt", F.explode(F.when(F.col("__hot"), all_salts).otherwise(F.array(F.lit(0)))))
+                   .drop("__hot"))
     return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
@@ -90,29 +106,41 @@ def sliced_join(left: DataFrame, right: DataFrame, keys: Sequence[str], slice_by
     return functools.reduce(DataFrame.unionByName, joined)
 
 
+def join_aggregate(df: DataFrame, aggregate: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows joined to an aggregate of themselves, null keys included.
+
+    The aggregate is written to the shared folder first. Its true size is then known when the join is
+    planned: below the broadcast threshold the rows are not shuffled at all, above it the join is a
+    shuffled one whose skewed partitions adaptive execution splits.
+    """
+    return null_safe_join(df, freeze(df.sparkSession, aggregate, "aggregate"), keys)
+
+
 def with_group_count(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     """Each row with the size of its group: a pre-aggregated count joined back.
 
     Unlike `count(*) over (partition by k)`, no task ever holds a whole group.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return null_safe_join(df, counts, list(keys))
+    return join_aggregate(df, counts, list(keys))
 
 
-def prepartitioned_self_agg(df: DataFrame, key: str, salt_on: Sequence[str], partitions: int,
-                            salts: int = 8, name: str = "n") -> DataFrame:
+def prepartitioned_self_agg(df: DataFrame, key: str, partitions: int, salt_on: Sequence[str] = (),
+                            salts: int = 1, name: str = "n") -> DataFrame:
     """Rows joined to their group count over one shared hash partitioning of the rows.
 
-    The rows are shuffled once by (key, salt). The first counting step and the row side of the join
-    both use that partitioning; only the small per-salt counts move again. The salt keeps a hot key
-    from filling one partition.
+    The rows are shuffled once; the counting and the row side of the join both use that partitioning.
+    With salts > 1 the rows are partitioned by (key, salt), so that a hot key does not fill one
+    partition; only the small per-salt counts, at most `salts` per key, move again.
     """
+    if salts <= 1:
+        placed = df.repartition(partitions, key)
+        counts = placed.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+        return placed.join(counts.hint("merge"), key)
     salted = (df.withColumn("__salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
                 .repartition(partitions, key, "__salt"))
     partial = salted.groupBy(key, "__salt").agg(F.count(F.lit(1)).alias("__part"))
-    # A key's salts that occur, each with the key's total.
-    totals = partial.groupBy(key).agg(F.sum("__part").alias(name), F.collect_set("__salt").alias("__salts"))
-    per_salt = totals.select(key, name, F.explode("__salts").alias("__salt"))
+    per_salt = partial.select(key, "__salt", F.sum("__part").over(Window.partitionBy(key)).alias(name))
     return salted.join(per_salt.hint("merge"), [key, "__salt"]).drop("__salt")
 
 

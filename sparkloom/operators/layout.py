@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def partition_counts(df: DataFrame) -> DataFrame:
-    """Rows per partition of a frame (non-empty partitions only)."""
-    return (df.groupBy(F.spark_partition_id().alias("partition_id"))
+def partition_counts(df: DataFrame, *by: str) -> DataFrame:
+    """Rows per partition of a frame (non-empty partitions only), also by further columns."""
+    return (df.groupBy(F.spark_partition_id().alias("partition_id"), *by)
               .agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.operators.joins import broadcast_if_small, null_safe_join
+from sparkloom.operators.joins import join_aggregate
 from sparkloom.scratch import freeze
 
 _LOCAL = "__row_in_partition"
@@ -30,13 +30,14 @@ def global_row_number(df: DataFrame, order: list[Column | str], name: str = "rn"
     frozen = freeze(df.sparkSession, ranged, "row-number")
     numbered = (frozen.withColumn(_PART, F.shiftright(_LOCAL, _LOCAL_BITS))
                       .withColumn(_LOCAL, F.col(_LOCAL).bitwiseAND((1 << _LOCAL_BITS) - 1)))
-    # One row per range partition, so the empty window partition below is small.
+    # One row per range partition (spark.sql.shuffle.partitions of them), so the unpartitioned window
+    # below is small and so is the broadcast.
     sizes = numbered.groupBy(_PART).agg(F.count(F.lit(1)).alias("__size"))
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PART, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__offset"))
-    return (numbered.join(broadcast_if_small(offsets), _PART)
+    return (numbered.join(F.broadcast(offsets), _PART)
                     .withColumn(name, F.col("__offset") + F.col(_LOCAL) + 1)
-                    .drop(_PART, _LOCAL, "__offset", "__size"))
+                    .drop(_PART, _LOCAL, "__offset"))
 
 
 def group_row_number(df: DataFrame, keys: list[str], order: list[Column | str],
@@ -44,6 +45,6 @@ def group_row_number(df: DataFrame, keys: list[str], order: list[Column | str],
     """Number the rows of each key from 1: position in the whole order minus the key's first one."""
     placed = global_row_number(df, [*keys, *order], "__position")
     first = placed.groupBy(*keys).agg(F.min("__position").alias("__first"))
-    return (null_safe_join(placed, first, keys)
+    return (join_aggregate(placed, first, keys)
             .withColumn(name, F.col("__position") - F.col("__first") + 1)
             .select(*df.columns, name))

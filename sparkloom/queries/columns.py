@@ -10,9 +10,9 @@ from sparkloom.operators import clean
 from sparkloom.registry import query, table
 
 # Tables hold no nulls; these columns make them the same way on both sides.
-NULLED = {"status": F.expr("nullif(o_orderstatus, 'P')"),
-          "priority": F.expr("nullif(o_orderpriority, '5-LOW')"),
-          "price": F.expr("case when o_totalprice >= 400000 then null else o_totalprice end")}
+NULLED = {"status": "nullif(o_orderstatus, 'P')",
+          "priority": "nullif(o_orderpriority, '5-LOW')",
+          "price": "case when o_totalprice >= 400000 then null else o_totalprice end"}
 NULLED_SQL = """select o_orderkey, nullif(o_orderstatus, 'P') as status,
         nullif(o_orderpriority, '5-LOW') as priority,
         case when o_totalprice >= 400000 then null else o_totalprice end as price
@@ -20,7 +20,7 @@ NULLED_SQL = """select o_orderkey, nullif(o_orderstatus, 'P') as status,
 
 
 def nulled_orders(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", *[c.alias(n) for n, c in NULLED.items()])
+    return table(spark, sf_dir, "orders").select("o_orderkey", *[F.expr(e).alias(n) for n, e in NULLED.items()])
 
 
 @query("proj_select", """

@@ -9,9 +9,16 @@ from sparkloom.registry import query, table
 
 
 @query("layout_partition_counts", """
-    select count(*) as n from lineitem group by l_quantity <= 45""")
+    select case when l_quantity <= 45 then 'usual' else 'large' end as kind, count(*) as n
+    from lineitem group by 1""")
 def layout_partition_counts(spark, sf_dir):
-    """Rows per partition after repartitioning by an uneven expression: two partitions get them all."""
-    lines = table(spark, sf_dir, "lineitem").select("l_quantity")
-    skewed = lines.repartition(10, F.when(F.col("l_quantity") <= 45, 1).otherwise(2))
-    return layout.partition_counts(skewed).select("n")
+    """Rows per partition after repartitioning by an uneven expression, added up per value.
+
+    A salt beside the expression keeps the large value from filling one partition.
+    """
+    kind = F.when(F.col("l_quantity") <= 45, "usual").otherwise("large")
+    lines = table(spark, sf_dir, "lineitem").select(
+        kind.alias("kind"), F.pmod(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey"), F.lit(16)).alias("salt"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = layout.partition_counts(lines.repartition(partitions, "kind", "salt"), "kind")
+    return counts.groupBy("kind").agg(F.sum("n").alias("n"))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from sparkloom.functions import schema as schemas
 from sparkloom.functions.timestamps import as_ntz, floor_to
 from sparkloom.registry import query, table
-from sparkloom.streaming.batch_writers import third_letter
 
 
 @query("fn_string", """
@@ -32,7 +31,7 @@ def fn_split_char(spark, sf_dir):
     """Array positions out of range give null."""
     words = F.split("p_name", " ", -1)
     return table(spark, sf_dir, "part").select(
-        "p_partkey", third_letter("p_name").alias("third"), F.get(words, F.lit(0)).alias("first_word"),
+        "p_partkey", F.get(F.split("p_name", ""), F.lit(2)).alias("third"), F.get(words, F.lit(0)).alias("first_word"),
         F.get(words, F.lit(8)).alias("ninth_word"), F.size(words).alias("n_words"))
 
 

@@ -106,8 +106,9 @@ def st_agg_append(spark, sf_dir):
 
 @query("st_dedup", "select distinct user_id, event_type from events")
 def st_dedup(spark, sf_dir):
-    stream = event_stream(spark, sf_dir).select("user_id", "event_type")
-    return runner.append_result(stateful.dedup(stream, ["user_id", "event_type"]))
+    """A key's rows are de-duplicated in two steps, so a hot key is not one task's work."""
+    unique = stateful.dedup(event_stream(spark, sf_dir), ["user_id", "event_type"], ["event_id"], salts=4)
+    return runner.append_result(unique.select("user_id", "event_type"))
 
 
 @query("st_dedup_wm", "select event_id, ts from events")
@@ -121,8 +122,8 @@ def st_dedup_wm(spark, sf_dir):
 
 @query("st_dedup_minute", "select distinct event_type, date_trunc('minute', ts) as minute from events")
 def st_dedup_minute(spark, sf_dir):
-    stream = event_stream(spark, sf_dir).select("event_type", "ts")
-    result = stateful.dedup_within(stream, ["event_type"], "ts", "minute", "10 minutes")
+    stream = event_stream(spark, sf_dir).select("event_id", "event_type", "ts")
+    result = stateful.dedup_within(stream, ["event_type"], "ts", "minute", "10 minutes", ["event_id"], salts=4)
     return runner.append_result(result.select("event_type", as_ntz("ts").alias("minute")))
 
 
@@ -221,7 +222,7 @@ def _purchases(spark, sf_dir):
 def st_join_window(spark, sf_dir):
     """Two streams on user and hour, with watermarks of two and three hours."""
     pairs = stateful.join_same_window(_clicks(spark, sf_dir), _purchases(spark, sf_dir), "user_id", "click_ts",
-                                      "purchase_ts", "1 hour", "2 hours", "3 hours")
+                                      "purchase_ts", "1 hour", "2 hours", "3 hours", ["click_id"], salts=2)
     return runner.append_result(pairs.select("click_id", "purchase_id", "user_id"))
 
 
@@ -233,7 +234,7 @@ def st_join_window(spark, sf_dir):
 def st_join_interval(spark, sf_dir):
     """Two streams, times at most an hour apart either way."""
     pairs = stateful.join_interval(_clicks(spark, sf_dir), _purchases(spark, sf_dir), "user_id", "click_ts",
-                                   "purchase_ts", 3600, "2 hours", "3 hours")
+                                   "purchase_ts", 3600, "2 hours", "3 hours", ["click_id"], salts=2)
     return runner.append_result(pairs.select("click_id", "purchase_id", "user_id"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sparkloom.operators.layout import balanced_for_write
@@ -14,7 +14,7 @@ from sparkloom.streaming.runner import BatchWriter
 
 def third_letter(column: str) -> Column:
     """Category of an identifier: its third character, null when it is shorter."""
-    return F.get(F.split(F.col(column), ""), F.lit(2))
+    return F.nullif(F.substring(column, 3, 1), F.lit(""))
 
 
 def fan_out(path: str, category: Column, name: str = "name") -> BatchWriter:
@@ -50,8 +50,6 @@ def to_all(writers: Sequence[BatchWriter], threads: int = 4) -> BatchWriter:
 
 def counted(writer: BatchWriter, report: Callable[[int, int], None]) -> BatchWriter:
     """Report the row count of each batch, measured while it is written."""
-    from pyspark.sql import Observation
-
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = Observation()
         writer(batch.observe(seen, F.count(F.lit(1)).alias("rows")), batch_id)

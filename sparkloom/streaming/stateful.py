@@ -10,19 +10,29 @@ from pyspark.sql import functions as F
 from sparkloom.functions.timestamps import floor_to
 
 
-def dedup(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """No watermark: the state keeps every key for ever."""
+def dedup(stream: DataFrame, keys: Sequence[str], salt_on: Sequence[str] = (), salts: int = 8) -> DataFrame:
+    """One row per key. Without a watermark the state keeps every key for ever.
+
+    A stream cannot drop duplicates before its shuffle, so all rows of a hot key would meet in one task.
+    With `salt_on` they are first de-duplicated per (key, salt), which spreads them, and then per key,
+    where at most `salts` rows of a key are left.
+    """
+    if salt_on:
+        salt = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
+        stream = stream.withColumn("__salt", salt).dropDuplicates([*keys, "__salt"]).drop("__salt")
     return stream.dropDuplicates(list(keys))
 
 
-def dedup_with_watermark(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
+def dedup_with_watermark(stream: DataFrame, keys: Sequence[str], ts: str, delay: str,
+                         salt_on: Sequence[str] = (), salts: int = 8) -> DataFrame:
     """Keys include the event time; late rows are dropped and old keys leave the state."""
-    return stream.withWatermark(ts, delay).dropDuplicates([*keys, ts])
+    return dedup(stream.withWatermark(ts, delay), [*keys, ts], salt_on, salts)
 
 
-def dedup_within(stream: DataFrame, keys: Sequence[str], ts: str, unit: str, delay: str) -> DataFrame:
+def dedup_within(stream: DataFrame, keys: Sequence[str], ts: str, unit: str, delay: str,
+                 salt_on: Sequence[str] = (), salts: int = 8) -> DataFrame:
     """One row per key and minute, hour or day of the event time."""
-    return dedup_with_watermark(stream.withColumn(ts, floor_to(ts, unit)), keys, ts, delay)
+    return dedup_with_watermark(stream.withColumn(ts, floor_to(ts, unit)), keys, ts, delay, salt_on, salts)
 
 
 def count_by_floor(stream: DataFrame, keys: Sequence[str], ts: str, unit: str, delay: str) -> DataFrame:
@@ -41,25 +51,37 @@ def windowed(stream: DataFrame, keys: Sequence[str], ts: str, width: str, delay:
                          *values)
 
 
+def _salted_sides(left: DataFrame, right: DataFrame, salt_on: Sequence[str], salts: int):
+    """Left rows spread by a hash, right rows repeated for every salt."""
+    spread = left.withColumn("left_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
+    repeated = right.withColumn("right_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread, repeated
+
+
 def join_same_window(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, width: str,
-                     left_delay: str, right_delay: str) -> DataFrame:
+                     left_delay: str, right_delay: str, salt_on: Sequence[str] = (), salts: int = 1) -> DataFrame:
     """Stream-stream inner join on key and event-time window.
 
     Both sides need the same window width; their watermarks may differ. The window is part of the
-    equi key, so a hot key is spread over its windows.
+    equi key, so a hot key is spread over its windows; with salts > 1 the left rows of one window are
+    spread further by a hash of `salt_on`, at the price of `salts` copies of the right rows.
     """
     lw = left.withWatermark(left_ts, left_delay).withColumn("w", F.window(left_ts, width))
     rw = right.withWatermark(right_ts, right_delay).withColumn("w", F.window(right_ts, width))
-    return lw.join(rw, [key, "w"], "inner")
+    if salts <= 1:
+        return lw.join(rw, [key, "w"], "inner")
+    lw, rw = _salted_sides(lw, rw, salt_on, salts)
+    return lw.join(rw.withColumnRenamed("right_salt", "left_salt"), [key, "w", "left_salt"], "inner").drop("left_salt")
 
 
 def join_interval(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, seconds: int,
-                  left_delay: str, right_delay: str) -> DataFrame:
+                  left_delay: str, right_delay: str, salt_on: Sequence[str] = (), salts: int = 1) -> DataFrame:
     """Stream-stream inner join: equal keys and event times at most `seconds` apart, both ways.
 
     The bound both ways lets both states be cleaned. A time bucket as wide as the bound is added to
     the equi key (each right row visits three buckets), so a hot key is spread over time and rows are
-    compared with their neighbours only. The two frames may share only the key column.
+    compared with their neighbours only; salts > 1 spread it further, as in `join_same_window`. The
+    two frames may share only the key column.
     """
     def bucket(ts: str) -> Column:
         return F.floor(F.unix_seconds(ts) / F.lit(seconds))
@@ -74,7 +96,11 @@ def join_interval(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     condition = ((F.col(key) == F.col("right_key")) & (F.col("left_bucket") == F.col("right_bucket"))
                  & (F.col(left_ts) <= F.col(right_ts) + bound)
                  & (F.col(left_ts) >= F.col(right_ts) - bound))
-    return lb.join(rb, condition, "inner").drop("left_bucket", "right_bucket", "right_key")
+    if salts > 1:
+        lb, rb = _salted_sides(lb, rb, salt_on, salts)
+        condition = condition & (F.col("left_salt") == F.col("right_salt"))
+    return (lb.join(rb, condition, "inner")
+              .drop("left_bucket", "right_bucket", "right_key", "left_salt", "right_salt"))
 
 
 def enrich(stream: DataFrame, static: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -144,7 +144,9 @@ def test_salted_join_equals_plain(spark, seed, salts, how):
     rnd = random.Random(seed)
     left = spark.createDataFrame([(rnd.choice([1, 1, 1, 2, 3, None]), i) for i in range(30)], "k int, l int")
     right = spark.createDataFrame([(rnd.choice([1, 2, 4, None]), i) for i in range(6)], "k int, r int")
-    assert tuples(joins.salted_join(left, right, ["k"], ["l"], salts, how)) == tuples(left.join(right, ["k"], how))
+    for hot_rows in (0, 5, 1_000):
+        got = joins.salted_join(left, right, ["k"], ["l"], salts, how, hot_rows)
+        assert tuples(got) == tuples(left.join(right, ["k"], how))
 
 
 def test_salted_join_refuses_outer_right(spark):

@@ -82,6 +82,12 @@ def test_global_count_has_no_window(spark, sf_dir):
     assert "Window" not in plan_text(queries()["win_percent"](spark, sf_dir))
 
 
+@pytest.mark.parametrize("key", ["join_self_agg", "win_percent", "win_group_row_number", "win_row_number"])
+def test_rows_are_not_shuffled_for_a_small_aggregate(spark, sf_dir, key):
+    df = queries()[key](spark, sf_dir)
+    assert "BroadcastHashJoin" in plan_text(df) and operator_count(df, "Exchange hashpartitioning") <= 1
+
+
 def test_join_choices(spark, sf_dir, no_auto_broadcast):
     supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     on = F.col("s_nationkey") == F.col("n_nationkey")
@@ -109,7 +115,8 @@ def test_one_shared_shuffle_of_the_rows(spark, sf_dir, no_auto_broadcast):
     counts = once.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
     text = plan_text(once.join(counts, "l_suppkey"))
     assert text.count("REPARTITION_BY_NUM") >= 1 and "ENSURE_REQUIREMENTS" not in text
-    salted = joins.prepartitioned_self_agg(lines, "l_suppkey", ["l_orderkey"], 10)
+    assert "ENSURE_REQUIREMENTS" not in plan_text(joins.prepartitioned_self_agg(lines, "l_suppkey", 10))
+    salted = joins.prepartitioned_self_agg(lines, "l_suppkey", 10, ["l_orderkey"], salts=4)
     exchanges = [l for l in plan_text(salted).splitlines() if "Exchange" in l]
     big = [l for l in exchanges if "REPARTITION_BY_NUM" in l]
     # The rows move by the explicit repartitioning only; the rest moves counts.

@@ -211,6 +211,21 @@ def test_zone_less_time_cannot_have_a_watermark(spark, sf_dir, out):
         stream.withWatermark("ts", "1 hour").groupBy("ts").count().writeStream.format("noop").start()
 
 
+def test_salted_dedup_drops_the_same_late_rows(spark, out):
+    rows = [[(NOON, "a"), (NOON, "a")], [(NOON - dt.timedelta(hours=12), "b")] * 5,
+            [(NOON - dt.timedelta(hours=12), "c"), (NOON, "a")], [(NOON + dt.timedelta(hours=1), "d")] * 3]
+    schema = "ts timestamp, k string"
+    write_files(spark, out, [[(t, k, i * 10 + j) for j, (t, k) in enumerate(batch)] for i, batch in enumerate(rows)],
+                schema + ", id int")
+
+    def run(*salting):
+        stream = one_file_per_batch(spark, out, schema + ", id int")
+        unique = stateful.dedup_with_watermark(stream, ["k"], "ts", "10 minutes", *salting)
+        return sorted(r.k for r in runner.append_result(unique).collect())
+
+    assert run() == ["a", "b", "d"] and run(["id"], 3) == ["a", "b", "d"]
+
+
 # --- custom source and sink --------------------------------------------------------------------------
 
 def test_custom_source(spark, tmp_path):
