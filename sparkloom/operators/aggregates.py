@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.joins import join_aggregate, null_safe_join
 from sparkloom.operators.positions import group_row_number
+from sparkloom.scratch import freeze
 
 
 def salted_count(df: DataFrame, key: str, salt_on: Sequence[str], salts: int = 10,
@@ -38,18 +39,30 @@ def with_share_of_group(df: DataFrame, outer: str, inner: str) -> DataFrame:
     return join_aggregate(df, share_of_group(df, outer, inner), [outer, inner])
 
 
-def collect_list_chunked(df: DataFrame, keys: list[str], value: str, order: list[Column | str],
+def collect_list_chunked(df: DataFrame, keys: list[str], value: str, order: list[str],
                          chunk_rows: int = 1000) -> DataFrame:
-    """collect_list per key in lists of at most `chunk_rows` values, in order, nothing dropped.
+    """collect_list per key, ascending by `order`, in lists of at most `chunk_rows`, nothing dropped.
 
-    Keys with few rows give one list; a hot key gives many rows instead of one unbounded array.
+    A key with few rows gives one list, from a plain grouping. Keys with more rows than that are found
+    by a count; their rows are numbered without gathering a key in one task and give several rows,
+    `chunk` 0, 1, ... each with its part of the list.
     """
-    placed = group_row_number(df, keys, order, "__rn")
-    chunk = F.expr(f"cast((__rn - 1) div {chunk_rows} as int)").alias("chunk")
-    return (placed.groupBy(*keys, chunk)
-                  .agg(F.count(F.lit(1)).alias("n"),
-                       F.transform(F.sort_array(F.collect_list(F.struct("__rn", value))),
-                                   lambda item: item[value]).alias("items")))
+    many = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > chunk_rows)
+    many = freeze(df.sparkSession, many.select(*keys), "long-lists")
+
+    def lists(rows: DataFrame, sort_by: list[str], *group: str) -> DataFrame:
+        items = F.sort_array(F.collect_list(F.struct(*sort_by, F.col(value).alias("__value"))))
+        return rows.groupBy(*keys, *group).agg(
+            F.count(F.lit(1)).alias("n"), F.transform(items, lambda item: item["__value"]).alias("items"))
+
+    if many.isEmpty():
+        return lists(df, order).select(*keys, F.lit(0).alias("chunk"), "n", "items")
+    short = null_safe_join(df, many, keys, "left_anti")
+    placed = group_row_number(null_safe_join(df, many, keys, "left_semi"), keys, order, "__rn")
+    placed = placed.withColumn("chunk", F.expr(f"cast((__rn - 1) div {chunk_rows} as int)"))
+    columns = [*keys, "chunk", "n", "items"]
+    return (lists(short, order).withColumn("chunk", F.lit(0)).select(*columns)
+            .unionByName(lists(placed, ["__rn"], "chunk").select(*columns)))
 
 
 def pivot_sum(df: DataFrame, key: str, column: str, values: Sequence, measure: Column) -> DataFrame:
@@ -60,7 +73,8 @@ def pivot_sum(df: DataFrame, key: str, column: str, values: Sequence, measure: C
 def letter_counts(df: DataFrame, text: str) -> DataFrame:
     """How often each character occurs, lower-cased; combined on the map side before the shuffle."""
     letters = df.select(F.explode(F.split(F.lower(F.col(text)), "")).alias("letter"))
-    return letters.filter(F.trim("letter") != "").groupBy("letter").agg(F.count(F.lit(1)).alias("n"))
+    counts = letters.groupBy("letter").agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.trim("letter") != "")
 
 
 def with_global_count(df: DataFrame, name: str = "n") -> DataFrame:

@@ -44,7 +44,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     renamed = {k: f"__right_{k}" for k in keys}
     condition = functools.reduce(lambda a, b: a & b,
                                  [F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()])
-    return left.join(right.withColumnsRenamed(renamed), condition, how).drop(*renamed.values())
+    joined = left.join(right.withColumnsRenamed(renamed), condition, how)
+    return joined.drop(*renamed.values())
 
 
 def theta_join(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:

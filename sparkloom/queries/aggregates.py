@@ -40,14 +40,15 @@ def agg_multi(spark, sf_dir):
 @query("agg_collect_list", """
     select o_custkey, chunk, count(*) as n,
            array_to_string(list(o_orderkey order by rn), ',') as order_keys
-    from (select o_custkey, o_orderkey, rn, cast((rn - 1) // 1000 as int) as chunk
+    from (select o_custkey, o_orderkey, rn, cast((rn - 1) // 16 as int) as chunk
           from (select o_custkey, o_orderkey,
                        row_number() over (partition by o_custkey order by o_orderkey) as rn from orders))
     group by o_custkey, chunk""")
 def agg_collect_list(spark, sf_dir):
-    """Order keys per customer, at most 1000 in a list, further lists in further rows."""
+    """Order keys per customer, at most 16 in a list, further lists in further rows."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
-    lists = aggregates.collect_list_chunked(orders, ["o_custkey"], "o_orderkey", ["o_orderkey"])
+    lists = aggregates.collect_list_chunked(orders, ["o_custkey"], "o_orderkey", ["o_orderkey"],
+                                            chunk_rows=16)
     return lists.select("o_custkey", "chunk", "n", F.array_join("items", ",").alias("order_keys"))
 
 

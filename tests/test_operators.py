@@ -133,7 +133,13 @@ def test_long_lists_are_cut_into_rows_and_stay_whole(spark):
     rows = aggregates.collect_list_chunked(df, ["k"], "id", ["id"], chunk_rows=1_000).collect()
     assert max(len(r["items"]) for r in rows) == 1_000
     hot = sorted((r for r in rows if r.k == "hot"), key=lambda r: r.chunk)
-    assert [x for r in hot for x in r["items"]] == list(range(2_400))
+    assert [x for r in hot for x in r["items"]] == list(range(2_400)) and [r.chunk for r in hot] == [0, 1, 2]
+    assert [(r.chunk, r.n) for r in rows if r.k == "cold"] == [(0, 100)]
+    whole = aggregates.collect_list_chunked(df, ["k"], "id", ["id"], chunk_rows=5_000)
+    assert sorted((r.k, r.chunk, r.n, r["items"][-1]) for r in whole.collect()) == [
+        ("cold", 0, 100, 2_499), ("hot", 0, 2_400, 2_399)]
+    nulls = spark.range(10).selectExpr("cast(null as string) as k", "id")
+    assert sorted(r.n for r in aggregates.collect_list_chunked(nulls, ["k"], "id", ["id"], 4).collect()) == [2, 4, 4]
 
 
 # --- joins -----------------------------------------------------------------------------------------
