@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def stop_gracefully(query: StreamingQuery, timeout: float = 60.0, marker: str | None = None,
@@ -50,3 +50,22 @@ def run_with_restarts(start: Callable[[], StreamingQuery], restarts: int = 3) ->
 def progress_rows(query: StreamingQuery) -> list[tuple[int, int]]:
     """(batch id, input rows) of the recent micro-batches."""
     return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress]
+
+
+class ProgressLog(StreamingQueryListener):
+    """Keeps the events of all queries: started, progress (batch, rows), ended with its error if any."""
+
+    def __init__(self):
+        self.events: list[tuple] = []
+
+    def onQueryStarted(self, event):
+        self.events.append(("started", str(event.id)))
+
+    def onQueryProgress(self, event):
+        self.events.append(("progress", event.progress.batchId, event.progress.numInputRows))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.events.append(("ended", event.exception))

@@ -170,3 +170,12 @@ def test_udfs_use_arrow(spark, sf_dir, key):
     text = plan_text(queries()[key](spark, sf_dir))
     assert "ArrowEvalPython" in text and "BatchEvalPython" not in text
     assert udfs.plus_one is not None
+
+
+def test_json_lines_are_parsed_once(spark, sf_dir):
+    assert plan_text(queries()["clean_records"](spark, sf_dir)).count("from_json(") == 1
+
+
+def test_record_lines_are_split_once(spark, sf_dir):
+    text = plan_text(queries()["parse_records"](spark, sf_dir))
+    assert text.count("split(") == 1

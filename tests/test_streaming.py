@@ -93,6 +93,35 @@ def test_console_sink(spark, arrivals, tmp_path):
     assert [n for _, n in control.progress_rows(query) if n] and query.exception() is None
 
 
+def test_listener_sees_the_query(spark, arrivals, tmp_path):
+    log = control.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        runner.run_available(stream_arrivals(spark, arrivals).writeStream.format("noop"), str(tmp_path / "c"))
+        deadline = time.time() + 30
+        while not any(e[0] == "ended" for e in log.events) and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    assert log.events[0][0] == "started" and log.events[-1] == ("ended", None)
+    assert sum(e[2] for e in log.events if e[0] == "progress") == 1000
+
+
+def test_two_queries_cannot_share_a_checkpoint(spark, tmp_path):
+    """The later query takes over; the earlier one is stopped."""
+    def start():
+        return (spark.readStream.format("rate").load().writeStream.format("noop")
+                .option("checkpointLocation", str(tmp_path / "c")).start())
+
+    first = start()
+    second = start()
+    try:
+        assert first.id == second.id and first.runId != second.runId
+        assert not first.isActive and second.isActive
+    finally:
+        control.stop_all(spark)
+
+
 def test_restart_continues_from_the_checkpoint(spark, out, tmp_path):
     schema, target, checkpoint = "id bigint", str(tmp_path / "t"), str(tmp_path / "c")
     write_files(spark, out, [[(1,)], [(2,)]], schema)
