@@ -60,32 +60,41 @@ def cartesian(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.crossJoin(right)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than `hot_rows` rows, each with `__salts`: tasks that share it, hot_rows rows each.
+
+    Written to the shared folder, with at most rows / hot_rows entries.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
+    return freeze(df.sparkSession,
+                  counted.select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts")), "hot-keys")
+
+
+def with_salt(df: DataFrame, hot: DataFrame, keys: Sequence[str], salt_on: Sequence[str]) -> DataFrame:
+    """Column `__salt`: a hash of `salt_on` for rows of hot keys, 0 for all others.
+
+    As the salt depends on the row only, a re-run task makes the same choice.
+    """
+    marked = null_safe_join(df, broadcast_if_small(hot), keys, "left")
+    salt = F.pmod(F.xxhash64(*salt_on), F.coalesce("__salts", F.lit(1))).cast("int")
+    return marked.withColumn("__salt", salt).drop("__salts")
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_on: Sequence[str],
-                salts: int = 16, how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
-    """Equi join that spreads the left rows of hot keys over `salts` tasks.
+                how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
+    """Equi join in which no key brings much more than `hot_rows` left rows to one task.
 
-    A key is hot when it has more than `hot_rows` left rows, so there are at most rows / hot_rows of
-    them. Only their right rows are repeated, once per salt; rows with a null key match nothing and are
-    spread as well. The salt is a hash of left columns, so a re-run task makes the same choice. `how`
-    may be inner, left, left_semi or left_anti: every left row meets one copy of each match.
+    Only the matches of hot keys are repeated, once per salt. `how` may be inner, left, left_semi or
+    left_anti: every left row meets one copy of each match.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting the left side cannot do a {how} join")
     keys = list(keys)
-    hot = (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-               .filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot")))
-    hot = freeze(left.sparkSession, hot, "hot-keys")
-    any_null = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    spread = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
-
-    salted = (left.join(broadcast_if_small(hot), keys, "left")
-                  .withColumn("__salt", F.when(F.col("__hot") | any_null, spread).otherwise(0))
-                  .drop("__hot"))
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    hot = hot_keys(left, keys, hot_rows)
+    salts = F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)
     copies = (right.join(broadcast_if_small(hot), keys, "left")
-                   .withColumn("__salt", F.explode(F.when(F.col("__hot"), all_salts).otherwise(F.array(F.lit(0)))))
-                   .drop("__hot"))
-    return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
+                   .withColumn("__salt", F.explode(salts)).drop("__salts"))
+    return with_salt(left, hot, keys, salt_on).join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
 def sliced_join(left: DataFrame, right: DataFrame, keys: Sequence[str], slice_by: str,
@@ -127,19 +136,19 @@ def with_group_count(df: DataFrame, keys: Sequence[str], name: str = "n") -> Dat
 
 
 def prepartitioned_self_agg(df: DataFrame, key: str, partitions: int, salt_on: Sequence[str] = (),
-                            salts: int = 1, name: str = "n") -> DataFrame:
+                            hot_rows: int = 1_000_000, name: str = "n") -> DataFrame:
     """Rows joined to their group count over one shared hash partitioning of the rows.
 
     The rows are shuffled once; the counting and the row side of the join both use that partitioning.
-    With salts > 1 the rows are partitioned by (key, salt), so that a hot key does not fill one
-    partition; only the small per-salt counts, at most `salts` per key, move again.
+    With `salt_on`, hot keys are spread over several partitions and only the counts of the (key, salt)
+    pairs, a few per hot key and one for any other, move again.
     """
-    if salts <= 1:
+    if not salt_on:
         placed = df.repartition(partitions, key)
         counts = placed.groupBy(key).agg(F.count(F.lit(1)).alias(name))
         return placed.join(counts.hint("merge"), key)
-    salted = (df.withColumn("__salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
-                .repartition(partitions, key, "__salt"))
+    salted = (with_salt(df, hot_keys(df, [key], hot_rows), [key], salt_on)
+              .repartition(partitions, key, "__salt"))
     partial = salted.groupBy(key, "__salt").agg(F.count(F.lit(1)).alias("__part"))
     per_salt = partial.select(key, "__salt", F.sum("__part").over(Window.partitionBy(key)).alias(name))
     return salted.join(per_salt.hint("merge"), [key, "__salt"]).drop("__salt")

@@ -107,7 +107,8 @@ def join_prepartitioned(spark, sf_dir):
     """One salted hash partitioning feeds the aggregate and the join."""
     lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return joins.prepartitioned_self_agg(lines, "l_suppkey", partitions, ["l_orderkey", "l_linenumber"], salts=8)
+    return joins.prepartitioned_self_agg(lines, "l_suppkey", partitions, ["l_orderkey", "l_linenumber"],
+                                         hot_rows=500)
 
 
 @query("join_sliced_union", """
@@ -128,7 +129,7 @@ def join_salted(spark, sf_dir):
     """The skewed join without slices: a salt spreads the hot keys of the big side."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    return (joins.salted_join(orders, customer, ["o_custkey"], ["o_orderkey"], salts=4, hot_rows=20)
+    return (joins.salted_join(orders, customer, ["o_custkey"], ["o_orderkey"], hot_rows=20)
             .select("o_orderkey", "o_custkey", "c_name"))
 
 

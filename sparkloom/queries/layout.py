@@ -16,9 +16,10 @@ def layout_partition_counts(spark, sf_dir):
 
     A salt beside the expression keeps the large value from filling one partition.
     """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = F.when(F.col("l_quantity") <= 45, "usual").otherwise("large")
     lines = table(spark, sf_dir, "lineitem").select(
-        kind.alias("kind"), F.pmod(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey"), F.lit(16)).alias("salt"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        kind.alias("kind"),
+        F.pmod(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey"), F.lit(partitions)).alias("salt"))
     counts = layout.partition_counts(lines.repartition(partitions, "kind", "salt"), "kind")
     return counts.groupBy("kind").agg(F.sum("n").alias("n"))
