@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 
 from sparkloom.scratch import freeze
 
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                    max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Measure a side: rows and bytes, reading at most max_rows + 1 rows."""
-    sized = df.limit(max_rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("size"))
-    rows, size = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    """Measure a side in rows and bytes.
+
+    `take` reads a few partitions at a time and stops early, so a large side costs little; only row
+    sizes, max_rows + 1 of them at most, reach the driver.
+    """
+    sizes = df.select(F.octet_length(F.to_json(F.struct("*")))).take(max_rows + 1)
+    return len(sizes) <= max_rows and sum(size for (size,) in sizes) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,

@@ -114,12 +114,12 @@ def schema_upper(spark, sf_dir):
 
 
 @query("fn_array_pick", """
-    select event_id, list_value('00A', '00AA', '00AK', '00AL')[1 + event_id % 4] as ident from events""")
+    select event_id, list_value('north', 'east', 'south', 'west')[1 + event_id % 4] as side from events""")
 def fn_array_pick(spark, sf_dir):
     """A repeatable pick from an array of literals."""
-    idents = F.array(*[F.lit(x) for x in ("00A", "00AA", "00AK", "00AL")])
+    sides = F.array(*[F.lit(x) for x in ("north", "east", "south", "west")])
     return table(spark, sf_dir, "events").select(
-        "event_id", F.get(idents, F.pmod("event_id", F.lit(4)).cast("int")).alias("ident"))
+        "event_id", F.get(sides, F.pmod("event_id", F.lit(4)).cast("int")).alias("side"))
 
 
 @query("fn_dates", """

@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 
 
 def literal(field: T.StructField) -> Column:
-    """SQL-like literal of one column: long 2 -> 2L, timestamp -> ts:micros, string -> quoted."""
+    """SQL-like literal of one column: long 2 -> 2L, timestamp -> ts:micros, string -> quoted.
+
+    Quotes inside a string are doubled and a null is NULL, so every row gives a statement.
+    """
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.LongType):
         text = F.concat(column.cast("string"), F.lit("L"))

@@ -26,6 +26,7 @@ def tuples(df):
 
 # --- cleaning: the golden results of the city example ------------------------------------------
 
+# The input lines and results of the published example.
 CITY_LINES = """{ "name": "Moscow", "country": "Rossiya", "continent": "Europe", "population": 12380664 }
 { "name": "Madrid", "country": "Spain" }
 { "name": "Paris", "country": "France", "continent": "Europe", "population": 2196936 }
@@ -270,25 +271,27 @@ def test_shuffle_picks_a_member(spark):
 
 # --- schema tools ---------------------------------------------------------------------------------
 
-NESTED = "foo string, bar string, boo struct<x: int, y: boolean>, arr array<struct<z: int>>, m map<string, struct<w: int>>"
+NESTED = ("name string, city string, size struct<width: int, round: boolean>, parts array<struct<z: int>>, "
+          "notes map<string, struct<w: int>>")
 
 
 def test_upper_names_everywhere(spark):
     schema = schemas.rename_nested(T.StructType.fromDDL(NESTED), str.upper)
     assert schema == T.StructType.fromDDL(
-        "FOO string, BAR string, BOO struct<X: int, Y: boolean>, ARR array<struct<Z: int>>, M map<string, struct<W: int>>")
+        "NAME string, CITY string, SIZE struct<WIDTH: int, ROUND: boolean>, PARTS array<struct<Z: int>>, "
+        "NOTES map<string, struct<W: int>>")
     df = spark.createDataFrame([("a", "b", (1, True), [(2,)], {"k": (3,)})], NESTED)
     upper = schemas.upper_names(df)
-    assert upper.columns == ["FOO", "BAR", "BOO", "ARR", "M"]
-    assert upper.select("BOO.X", F.col("ARR")[0]["Z"], F.col("M")["k"]["W"]).first() == (1, 2, 3)
+    assert upper.columns == ["NAME", "CITY", "SIZE", "PARTS", "NOTES"]
+    assert upper.select("SIZE.WIDTH", F.col("PARTS")[0]["Z"], F.col("NOTES")["k"]["W"]).first() == (1, 2, 3)
 
 
 def test_schema_access():
     schema = T.StructType.fromDDL(NESTED)
-    assert schema["boo"].dataType["x"].dataType == T.IntegerType()
-    assert schema.fieldNames().index("bar") == 1 and schema[0].name == "foo"
+    assert schema["size"].dataType["width"].dataType == T.IntegerType()
+    assert schema.fieldNames().index("city") == 1 and schema[0].name == "name"
     assert T.StructType.fromJson(json.loads(schema.json())) == schema
-    assert schema.simpleString().startswith("struct<foo:string,bar:string,boo:struct<x:int,y:boolean>")
+    assert schema.simpleString().startswith("struct<name:string,city:string,size:struct<width:int,round:boolean>")
 
 
 def test_create_table_text():

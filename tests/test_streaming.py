@@ -218,6 +218,24 @@ def test_late_rows_are_judged_by_the_watermark_before(spark, out):
     assert sorted(r.k for r in got.collect()) == ["a", "b"]
 
 
+def test_state_on_disk_gives_the_same_result(spark, sf_dir, arrivals):
+    from sparkloom.session import STATE_STORE
+
+    def run():
+        unique = stateful.dedup(stream_arrivals(spark, arrivals), ["user_id", "event_type"])
+        return sorted((r.user_id, r.event_type) for r in runner.append_result(unique).collect())
+
+    in_memory = run()
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    try:
+        for key, value in STATE_STORE.items():
+            spark.conf.set(key, value)
+        assert run() == in_memory
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_append_without_watermark_is_refused(spark, arrivals):
     counts = stream_arrivals(spark, arrivals).groupBy("event_type").count()
     with pytest.raises(AnalysisException):
