@@ -38,10 +38,16 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def start_empty(df: DataFrame, path: str) -> None:
+    """An empty table at the target, which is the result if no micro-batch ever runs."""
+    df.sparkSession.createDataFrame([], df.schema).write.parquet(path)
+
+
 def append_result(df: DataFrame) -> DataFrame:
     """Append mode into a parquet sink, whose log makes every batch count once."""
     spark = df.sparkSession
     out = new_dir(spark, "stream-append")
+    start_empty(df, out)
     writer = df.writeStream.outputMode("append").format("parquet").option("path", out)
     run_available(writer, new_dir(spark, "checkpoint"))
     return spark.read.schema(df.schema).parquet(out)
@@ -58,7 +64,8 @@ def complete_result(df: DataFrame) -> DataFrame:
     """Complete mode: every batch writes the whole result; the last one is the answer."""
     spark = df.sparkSession
     out = new_dir(spark, "stream-complete")
-    last = {}
+    last = {"id": -1}
+    start_empty(df, f"{out}/batch_id=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         per_batch_writer(out)(batch, batch_id)
@@ -72,6 +79,7 @@ def update_result(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Update mode: batches hold changed rows only; a key's newest batch has its value."""
     spark = df.sparkSession
     out = new_dir(spark, "stream-update")
+    start_empty(df, f"{out}/batch_id=-1")
     run_available(df.writeStream.outputMode("update").foreachBatch(per_batch_writer(out)),
                   new_dir(spark, "checkpoint"))
     rest = [c for c in df.columns if c not in keys]

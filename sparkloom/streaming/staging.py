@@ -26,8 +26,10 @@ class Arrivals:
 
 
 def slice_edges(df: DataFrame, ts: str, slices: int):
-    """Edges of equal time slices over the whole column: [e0, e1), [e1, e2), ..."""
+    """Edges of equal time slices over the whole column: [e0, e1), [e1, e2), ... (none without times)."""
     low, high = df.agg(F.min(ts), F.max(ts)).first()
+    if low is None:
+        return []
     width = timedelta(microseconds=(high - low) // timedelta(microseconds=1) // slices + 1)
     return [low + width * i for i in range(slices + 1)]
 
@@ -38,19 +40,22 @@ def stage_arrivals(df: DataFrame, ts: str, path: str, slices: int = SLICES,
 
     `ts` is zone-less in the table and written as an instant, which watermarks need. Every slice is
     cut into the same number of files, so that many files per trigger gives one slice per
-    micro-batch. The slice filters are plain ranges on the stored column.
+    micro-batch. The slice filters are plain ranges on the stored column. Rows without a time have no
+    place in the order and come last, as a slice of their own.
     """
+    instants = as_instant(df, ts)
+    if df.isEmpty():
+        instants.write.mode("append").parquet(path)
+        return Arrivals(path, instants.schema, 1)
     edges = slice_edges(df, ts, slices)
     literals = [F.expr(f"timestamp_ntz'{e.isoformat(sep=' ')}'") for e in edges]
-    number = F.coalesce(*[F.when(F.col(ts) < edge, i) for i, edge in enumerate(literals[1:])])
+    parts = [(F.col(ts) >= a) & (F.col(ts) < b) for a, b in zip(literals, literals[1:])] + [F.col(ts).isNull()]
+    number = F.coalesce(*[F.when(part, i) for i, part in enumerate(parts)])
     sizes = {r["slice"]: r["n"] for r in
-             df.groupBy(number.alias("slice")).agg(F.count(F.lit(1)).alias("n")).collect()
-             if r["slice"] is not None}
+             df.groupBy(number.alias("slice")).agg(F.count(F.lit(1)).alias("n")).collect()}
     files = max(1, math.ceil(max(sizes.values()) / rows_per_file))
-    instants = as_instant(df, ts)
     for i in sorted(sizes):
-        rows = df.filter((F.col(ts) >= literals[i]) & (F.col(ts) < literals[i + 1]))
-        as_instant(rows.repartition(files), ts).write.mode("append").parquet(path)
+        as_instant(df.filter(parts[i]).repartition(files), ts).write.mode("append").parquet(path)
     return Arrivals(path, instants.schema, files)
 
 

@@ -55,6 +55,17 @@ def test_slices_with_several_files_stay_one_batch(spark, sf_dir, out, tmp_path):
     assert [sizes[k] for k in sorted(sizes)] == want
 
 
+def test_empty_table_and_rows_without_time(spark, sf_dir, out, tmp_path):
+    schema = "ts timestamp_ntz, k string"
+    empty = stage_arrivals(spark.createDataFrame([], schema), "ts", out)
+    counts = stream_arrivals(spark, empty).groupBy("k").count()
+    assert runner.append_result(stream_arrivals(spark, empty)).count() == 0
+    assert runner.complete_result(counts).count() == 0 and runner.update_result(counts, ["k"]).count() == 0
+    for name, rows in (("n", [(NOON, "a"), (None, "b")]), ("m", [(None, "a"), (None, "b")])):
+        staged = stage_arrivals(spark.createDataFrame(rows, schema), "ts", str(tmp_path / name))
+        assert sorted(r.k for r in runner.append_result(stream_arrivals(spark, staged)).collect()) == ["a", "b"]
+
+
 def test_stream_is_not_a_static_frame(spark, arrivals):
     stream = stream_arrivals(spark, arrivals)
     assert stream.isStreaming
