@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check_oracle import compare, connect
+from sparkloom import registry
 
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
 
@@ -13,7 +14,7 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_query(key, spark, sf_dir, con):
     df = QUERIES[key](spark, sf_dir)
     assert key in ORACLES
