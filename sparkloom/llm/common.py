@@ -65,6 +65,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from:
             .join(F.broadcast(picked), "__id").select("__id", "text", F.col("__label").alias("label")))
 
 
+def broadcast_counted(df: DataFrame, most_rows: int) -> DataFrame:
+    """Hint a broadcast of a written table of narrow rows only when its count is within the bound; beyond it
+    Spark joins by a shuffle. The result is the same."""
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40.0, 40.0)))
 

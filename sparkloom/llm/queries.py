@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import langid, packing, quality, token_counts
+from sparkloom.llm import langid, minhash, packing, pii, quality, token_counts
 from sparkloom.llm.common import fold
 from sparkloom.registry import table
 
@@ -53,6 +53,20 @@ def op3_token_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+@query
+def op7_personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.train_pii(docs))
+    counts = [pii.n_spans("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text("base"), 256).alias("base_sha256"),
+                        pii.spans_text("spans").alias("spans"))
+
+
+@query
+def op8_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.MinHashParams(words=3, percent=85))
+
+
 @query
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
