@@ -4,7 +4,7 @@
    of hashes, each hash made of `half` minhashes. Texts with equal digests form a class with one representative.
 2. A table's key combines one hash of the first collection with one of the second, so `m` + `m` hashes make
    m * m tables: the minhash work is about the square root of what independent tables need. `m` follows from
-   the similarity so that a pair at the threshold is missed with probability under 1 in 1,000.
+   the similarity so that a pair at the threshold is missed with probability under 1 in 10,000.
 3. In each bucket all members are tied to the least one; the components of these ties are clusters of
    candidates. A text is in one cluster, so its set is shipped once per pair of blocks of its cluster.
 4. Clusters are cut into blocks of bounded size; a task compares the full sets of two blocks and returns a
@@ -44,7 +44,7 @@ class MinHashParams:
     words: int = 5
     percent: int = 80  # least similarity in percent
     half: int = 2  # minhashes in a hash of a collection
-    miss: float = 1e-3
+    miss: float = 1e-4
     block: int = 512  # texts of a block
     broadcast_rows: int = 500_000  # candidates up to this number are broadcast to fetch their texts
 

@@ -236,7 +236,7 @@ def best_fit_runs(histogram: np.ndarray, capacity: int) -> list[tuple[tuple[int,
     return [(lengths, n) for runs in open_by_gap.values() for lengths, n in runs]
 
 
-def plan(histogram: np.ndarray, capacity: int, width: int = 2, share: float = 0.9) -> list[tuple[int, int, int, int, int]]:
+def plan(histogram: np.ndarray, capacity: int, width: int = 1, share: float = 0.9) -> list[tuple[int, int, int, int, int]]:
     """(length, first rank, ranks, first sequence, offset) for each length of each pattern.
 
     `histogram[l]` pieces of length l. Every rank of every length is in exactly one row. Patterns are used

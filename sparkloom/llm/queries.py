@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import langid, minhash, packing, pii, quality, token_counts
+from sparkloom.llm import decontam, langid, minhash, packing, pii, quality, token_counts
 from sparkloom.llm.common import fold
 from sparkloom.registry import table
 
@@ -67,6 +67,11 @@ def op8_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.MinHashParams(words=3, percent=85))
 
 
+@query
+def op9_decontamination(spark, sf_dir):
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
