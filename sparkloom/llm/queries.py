@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontam, embed_dedup, langid, minhash, packing, pii, quality, token_counts
+from sparkloom.llm import decontam, embed_dedup, langid, minhash, packing, pii, quality, token_counts, toxicity
 from sparkloom.llm.common import fold
 from sparkloom.registry import table
 
@@ -53,6 +53,11 @@ def op3_token_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+@query
+def op5_toxicity(spark, sf_dir):
+    return scored(spark, sf_dir, toxicity.train_toxicity, toxicity.score_toxicity, "toxic", 4, 2, 0.3)
+
+
 @query
 def op6_embeddings(spark, sf_dir):
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
