@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontam, embed_dedup, langid, minhash, packing, pii, quality, token_counts, toxicity
+from sparkloom.llm import decontam, embed_dedup, langid, minhash, packing, pii, quality, substring_dedup, token_counts, toxicity
 from sparkloom.llm.common import fold
 from sparkloom.registry import table
 
@@ -53,6 +53,13 @@ def op3_token_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+@query
+def op4_repeats(spark, sf_dir):
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op5_toxicity(spark, sf_dir):
     return scored(spark, sf_dir, toxicity.train_toxicity, toxicity.score_toxicity, "toxic", 4, 2, 0.3)
