@@ -1 +1,75 @@
-QUERIES, ORACLES = {}, {}
+"""From `documents` to packed training sequences: five stages, each one of the corpus operators.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the
+next one's docs. All stages but the last return the columns of `documents`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkloom.llm import decontam, minhash, packing, pii, quality
+from sparkloom.registry import table
+from sparkloom.scratch import new_dir
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that the classifier, fitted on the labelled rows among `docs`, rejects go; at 0.5 a text stays."""
+    model = quality.train_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model, score="__score").filter("__score >= 0.5").drop("__score")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the least id: shingles of five words, similarity 0.8."""
+    return minhash.drop_near_duplicates(docs, minhash.MinHashParams(words=5, percent=80))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with a benchmark item go."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data become their kind in brackets; `n_chars` is that of the new text."""
+    masked = pii.mask_pii(docs, pii.train_pii(docs))
+    if "n_chars" in masked.columns:
+        kind = masked.schema["n_chars"].dataType
+        masked = masked.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+    return masked
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of 1024, a row per piece of a document."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("personal_data", personal_data),
+    ("best_fit_packing", best_fit_packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sf_dir = str(sf_dir).rstrip("/")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = new_dir(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
+
+
+#: SQL can express neither the classifier nor the packing; tests compare the stages with brute force.
+ORACLE_SQL = None
+
+QUERIES = {"pipeline": run}
+ORACLES = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}
