@@ -130,7 +130,7 @@ def fit(rows: list[np.ndarray], target: np.ndarray, cost: float = 1.0) -> Qualit
     ratio = log_count_ratio(rows, target)
     weight, bias = dual_coordinate_descent(rows, target, ratio, cost)
     margins = np.zeros(len(rows))
-    half = np.arange(len(rows)) % 2
+    half = np.random.default_rng(1).permutation(len(rows)) % 2
     for k in (0, 1):
         learn = np.flatnonzero(half != k)
         if len(set(target[learn])) < 2:

@@ -153,10 +153,14 @@ def repeated_starts(raw: np.ndarray, starts: np.ndarray, length: int) -> np.ndar
         return np.empty(0, bool)
     words = words_of(raw)
     units = (length - MODULUS + 1) // MODULUS
-    tail = length - 8
-    assert MODULUS <= 8 <= length and units * MODULUS >= tail
+    # Ranks reach at least to this byte; the words over the rest may overlap with what they cover.
+    reached = units * MODULUS
+    tails = [length - 8] if reached >= length - 8 else [length - 16, length - 8]
+    assert tails[0] >= 0 and reached >= tails[0], "the length is too short for this cover"
     ranks = cover_ranks(words, units)
-    ends = _rank(_rank(words[starts]) * (len(starts) + 1) + _rank(words[starts + tail]))
+    ends = _rank(words[starts])
+    for tail in tails:
+        ends = _rank(ends * (len(starts) + 1) + _rank(words[starts + tail]))
     found = np.zeros(len(starts), bool)
     shifts = [(d - starts) % MODULUS for d in COVER]
     keys = np.concatenate([(ends * len(raw) + ranks[starts + s]) * MODULUS + s for s in shifts])
