@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -55,8 +56,14 @@ def create_table_sql(schema: T.StructType, table: str, primary_key: str,
 def infer_json_schema(df: DataFrame, column: str | Column) -> str:
     """Schema of a JSON text column over all its rows, as a DDL type; malformed rows are ignored.
 
-    One distributed aggregation; only the final type text reaches the driver.
+    One distributed aggregation; only the final type text reaches the driver. A column without any value
+    gives an empty struct, a field that is always null a string.
     """
     text = F.col(column) if isinstance(column, str) else column
     found = df.agg(F.schema_of_variant_agg(F.try_parse_json(text)).alias("t")).first()["t"]
-    return found.replace("OBJECT<", "STRUCT<")
+    if found is None or found == "VOID":
+        return "STRUCT<>"
+    # Names in backquotes are left alone, whatever they contain.
+    parts = re.split(r"(`(?:[^`]|``)*`)", found)
+    parts[::2] = [re.sub(r"\bVOID\b", "STRING", re.sub(r"\bOBJECT\b", "STRUCT", p)) for p in parts[::2]]
+    return "".join(parts)

@@ -85,9 +85,9 @@ def json_parse_props(spark, sf_dir):
 @query("schema_of_json", """
     select event_id, 'STRUCT<k: BIGINT>' as ddl, cast(json_extract(props, '$.k') as bigint) as k from events""")
 def schema_of_json(spark, sf_dir):
-    """The schema of one sample value, used to parse the whole column."""
+    """The schema of all values, used to parse the whole column."""
     events = table(spark, sf_dir, "events")
-    ddl = events.select(F.schema_of_json(F.lit(events.select("props").first()[0]))).first()[0]
+    ddl = schemas.infer_json_schema(events, "props")
     return (events.select("event_id", F.lit(ddl).alias("ddl"), F.from_json("props", F.lit(ddl)).alias("s"))
             .select("event_id", "ddl", "s.k"))
 

@@ -34,7 +34,7 @@ def udf_null_guard(spark, sf_dir):
     kind = F.expr("nullif(event_type, 'error')")
     return table(spark, sf_dir, "events").select(
         "event_id", udfs.describe_pair(kind, F.col("event_id")).alias("called_with_null"),
-        udfs.null_guarded(udfs.describe_pair, kind, F.col("event_id")).alias("guarded"))
+        udfs.describe_guarded(kind, F.col("event_id")).alias("guarded"))
 
 
 @query("udf_struct", """
