@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
+from sparkloom import registry
 from sparkloom.functions.timestamps import as_ntz
 from sparkloom.queries.sources import EVENT_VALUE, event_topic
-from sparkloom.registry import query, table
+from sparkloom.registry import table
 from sparkloom.scratch import new_dir, stage_once
-from sparkloom.sources import connectors
-from sparkloom.streaming import batch_writers, runner, stateful
-from sparkloom.streaming.staging import Arrivals, stage_arrivals, stream_arrivals
+from sparkloom.session import state_settings
+from sparkloom.sources import connectors, inserts
+from sparkloom.streaming import batch_writers, custom, runner, stateful
+from sparkloom.streaming.staging import SLICES_SQL, Arrivals, stage_arrivals, stream_arrivals
+
+query = functools.partial(registry.query, settings=state_settings)
 
 _arrivals: dict[str, Arrivals] = {}
 
@@ -143,10 +149,11 @@ def st_union_window(spark, sf_dir):
     return latest.select("event_type", as_ntz("window_start").alias("window_start"), "n")
 
 
-# Batch k is slice k of four equal time slices. A row of batch k is judged by the watermark that the
+# Batch k is slice k of equal time slices. A row of batch k is judged by the watermark that the
 # batches before k - 1 have set.
-LATE_SQL = """
-    with lim as (select min(ts) as lo, (epoch_us(max(ts)) - epoch_us(min(ts))) // 4 + 1 as width from events),
+LATE_SQL = f"""
+    with lim as (select min(ts) as lo, (epoch_us(max(ts)) - epoch_us(min(ts))) // {SLICES_SQL} + 1 as width
+                 from events),
     e as (select event_type,
                  case when event_type = 'error' then ts - interval 3 days else ts end as et,
                  cast((epoch_us(ts) - epoch_us(lo)) // width as int) as batch
@@ -234,10 +241,35 @@ def st_join_window(spark, sf_dir):
 def st_join_interval(spark, sf_dir):
     """Two streams, times at most an hour apart either way."""
     pairs = stateful.join_interval(_clicks(spark, sf_dir), _purchases(spark, sf_dir), "user_id", "click_ts",
-                                   "purchase_ts", 3600, "2 hours", "3 hours", ["click_id"], salts=2)
+                                   "purchase_ts", 3600, "2 hours", "3 hours")
     return runner.append_result(pairs.select("click_id", "purchase_id", "user_id"))
 
 
+@query("st_join_interval_onesided", """
+    select l.event_id as click_id, r.event_id as purchase_id, l.user_id
+    from events l join events r on l.user_id = r.user_id
+    where l.event_type = 'click' and r.event_type = 'purchase' and l.ts <= r.ts + interval 1 hour""")
+def st_join_interval_onesided(spark, sf_dir):
+    """Two streams, the click at most an hour after the purchase, and before it by any time."""
+    pairs = stateful.join_not_after(_clicks(spark, sf_dir), _purchases(spark, sf_dir), "user_id", "click_ts",
+                                    "purchase_ts", 3600, "2 hours", "3 hours")
+    return runner.append_result(pairs.select("click_id", "purchase_id", "user_id"))
+
+
+@query("st_render_inserts", """
+    select concat('INSERT INTO TABLE foo (event_id, ts, event_type) VALUE (', event_id, 'L, ts:',
+                  epoch_us(ts), ', ''', event_type, ''')') as statement
+    from events""")
+def st_render_inserts(spark, sf_dir):
+    """Each micro-batch as INSERT statements through the custom sink."""
+    custom.register(spark)
+    out = new_dir(spark, "statements")
+    stream = inserts.render_inserts(event_stream(spark, sf_dir).select("event_id", "ts", "event_type"), "foo")
+    runner.run_available(stream.writeStream.format(custom.SINK_NAME).option("path", out),
+                         new_dir(spark, "checkpoint"))
+    return custom.committed_statements(spark, out)
+
+
 @query("st_kafka_decode", """
     select 'events' as topic, cast(event_id % 4 as int) as "partition", event_id, user_id, event_type, value
     from events""")

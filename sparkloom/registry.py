@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkloom.session import child_session
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _queries: dict[str, Query] = {}
@@ -17,7 +19,9 @@ _MODULES = ("sources", "sinks", "columns", "joins", "aggregates", "ordering", "s
             "layout", "streams")
 
 
-def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
+def query(key: str, oracle: str | None = None,
+          settings: Callable[[SparkSession], dict[str, str]] | None = None) -> Callable[[Query], Query]:
+    """Register a query. It runs in a session of its own, with `settings`, so the caller's stays as it is."""
     def register(fn: Query) -> Query:
         if key in _queries:
             raise ValueError(f"duplicate query key {key}")
@@ -25,8 +29,8 @@ def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # Zone-less input timestamps are read as instants of this zone.
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, str(sf_dir).rstrip("/"))
+            own = {"spark.sql.session.timeZone": "UTC", **(settings(spark) if settings else {})}
+            return fn(child_session(spark, own), str(sf_dir).rstrip("/"))
 
         _queries[key] = run
         if oracle:

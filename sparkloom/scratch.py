@@ -6,6 +6,7 @@ nothing here relies on executor-local storage: data is frozen by writing it to t
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -15,7 +16,39 @@ from pyspark.sql import SparkSession
 SETTING = "spark.checkpoint.dir"
 
 _local_root: dict[str, str] = {}
-_staged: dict[tuple[str, str, str], str] = {}
+_staged: dict[tuple[str, str, str, str], str] = {}
+_made: dict[str, list[str]] = {}
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) for any URI that Spark can read."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, at = _file_system(spark, path)
+    return bool(files.exists(at))
+
+
+def listing_key(spark: SparkSession, folder: str) -> str:
+    """A hash of names, sizes and times of the files at most two levels below a folder.
+
+    One short text per file of the input tables is seen, never data.
+    """
+    files, at = _file_system(spark, folder)
+    if not files.exists(at):
+        return "absent"
+    digest, level = hashlib.sha256(), [at]
+    for _ in range(2):
+        below = []
+        for entry in (status for path in level for status in files.listStatus(path)):
+            digest.update(f"{entry.getPath()}|{entry.getLen()}|{entry.getModificationTime()};".encode())
+            if entry.isDirectory():
+                below.append(entry.getPath())
+        level = below
+    return digest.hexdigest()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -36,13 +69,30 @@ def scratch_root(spark: SparkSession) -> str:
 
 def new_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other job uses (not created yet)."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete what this application wrote below its shared folder; gives the number of folders deleted.
+
+    Call it when no frame made by the library is read any more, for instance before the session stops.
+    """
+    gone = 0
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        files, at = _file_system(spark, path)
+        gone += bool(files.delete(at, True))
+    return gone
 
 
 def stage_once(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
-    """Write a derived table once per application and input folder; return its path."""
-    key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _staged:
+    """Write a derived table once per application and state of the input folder; return its path.
+
+    Changed input files and a removed copy are noticed, and the table is written again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, label, listing_key(spark, sf_dir))
+    if key not in _staged or not path_exists(spark, _staged[key]):
         path = new_dir(spark, label)
         write(path)
         _staged[key] = path

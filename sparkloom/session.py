@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 # UTC keeps zone-less parquet timestamps and event-time columns on one clock. Adaptive execution
 # re-plans at runtime: it merges small shuffle partitions and splits skewed join partitions.
 DEFAULTS = {
+    # Skewed partitions of joins between a stream and a static table are split too.
+    "spark.sql.adaptive.streaming.stateless.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -26,13 +28,28 @@ STATE_STORE = {
 }
 
 
-def get_session(app: str = "sparkloom", master: str | None = None, rocksdb_state: bool = False,
-                **extra: str) -> SparkSession:
+def state_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings for queries that keep state: the store, and partitions for it, which a checkpoint fixes for
+    good: the session's shuffle partitions, but no more than two per core."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return {**STATE_STORE,
+            "spark.sql.shuffle.partitions": str(min(wanted, 2 * spark.sparkContext.defaultParallelism))}
+
+
+def child_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of the same application with the caller's settings and some of its own, which the caller's
+    session and other threads do not get."""
+    child = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if child.conf.isModifiable(key):
+            child.conf.set(key, value)
+    return child
+
+
+def get_session(app: str = "sparkloom", master: str | None = None, **extra: str) -> SparkSession:
     """Build or fetch a session; `master` is given only for local runs."""
     builder = SparkSession.builder.appName(app)
-    settings = dict(DEFAULTS)
-    if rocksdb_state:
-        settings.update(STATE_STORE)
+    settings = {**DEFAULTS, **STATE_STORE}
     if master:
         cores = os.environ.get("BENCH_CPUS", "8")
         builder = builder.master(master)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import time
 from collections.abc import Callable
 
@@ -10,10 +9,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from sparkloom.scratch import path_exists
+
 
 def stop_gracefully(query: StreamingQuery, timeout: float = 60.0, marker: str | None = None,
                     poll: float = 0.05) -> bool:
-    """Stop between two micro-batches, and only once the marker file exists if one is named.
+    """Stop between two micro-batches, and only once the marker file exists if one is named (a path or URI
+    of any file system that Spark can read).
 
     False when the timeout passed first; the query then still runs.
     """
@@ -21,7 +23,7 @@ def stop_gracefully(query: StreamingQuery, timeout: float = 60.0, marker: str |
     while time.monotonic() < deadline:
         if not query.isActive:
             return True
-        if (marker is None or os.path.exists(marker)) and not query.status["isTriggerActive"]:
+        if (marker is None or path_exists(SparkSession.active(), marker)) and not query.status["isTriggerActive"]:
             query.stop()
             return True
         time.sleep(poll)

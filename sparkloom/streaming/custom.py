@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow.fs as fs
 from pyspark import TaskContext
 from pyspark.errors import PySparkNotImplementedError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (DataSource, DataSourceStreamReader, DataSourceStreamWriter,
                                     InputPartition, WriterCommitMessage)
 from pyspark.sql.types import StructType
@@ -78,34 +78,50 @@ class WrittenFile(WriterCommitMessage):
     rows: int
 
 
+def _target(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a URI; a path without a scheme is on the machine's own disk, for local runs."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = path.removeprefix("file:")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 class StatementsWriter(DataSourceStreamWriter):
-    """Each task writes its own file; the batch counts only once its manifest lists them."""
+    """Each task writes its own file; the batch counts only once its manifest lists them.
+
+    All files go through the file system that the URI names, so on a cluster the path is on shared storage.
+    A repeated batch replaces its manifest, and files that no manifest lists do not count.
+    """
 
     def __init__(self, path: str):
         self.path = path
 
     def write(self, iterator) -> WriterCommitMessage:
-        os.makedirs(self.path, exist_ok=True)
+        files, base = _target(self.path)
+        files.create_dir(base, recursive=True)
         name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.sql"
         rows = 0
-        with open(os.path.join(self.path, name), "w", encoding="utf-8") as out:
+        with files.open_output_stream(f"{base}/{name}") as out:
             for row in iterator:
-                out.write(row[0] + "\n")
+                out.write(f"{row[0]}\n".encode())
                 rows += 1
         return WrittenFile(name, rows)
 
     def commit(self, messages, batchId: int) -> None:
-        os.makedirs(self.path, exist_ok=True)
-        files = [{"file": m.file, "rows": m.rows} for m in messages if m is not None]
-        final = os.path.join(self.path, f"batch-{batchId:010d}.json")
-        with open(final + ".tmp", "w", encoding="utf-8") as out:
-            json.dump({"batch": batchId, "files": files}, out)
-        os.replace(final + ".tmp", final)
+        files, base = _target(self.path)
+        files.create_dir(base, recursive=True)
+        written = [{"file": m.file, "rows": m.rows} for m in messages if m is not None]
+        final = f"{base}/batch-{batchId:010d}.json"
+        with files.open_output_stream(f"{final}.tmp") as out:
+            out.write(json.dumps({"batch": batchId, "files": written}).encode())
+        if files.get_file_info(final).type != fs.FileType.NotFound:
+            files.delete_file(final)
+        files.move(f"{final}.tmp", final)
 
     def abort(self, messages, batchId: int) -> None:
+        files, base = _target(self.path)
         for m in messages:
             if m is not None:
-                os.unlink(os.path.join(self.path, m.file))
+                files.delete_file(f"{base}/{m.file}")
 
 
 class StatementsSink(DataSource):
@@ -123,18 +139,28 @@ class StatementsSink(DataSource):
         return StatementsWriter(self.options["path"])
 
 
-def committed_statements(path: str) -> list[str]:
-    """Statements of the committed batches, for checks on small outputs."""
-    lines: list[str] = []
-    for name in sorted(os.listdir(path)):
-        if name.startswith("batch-") and name.endswith(".json"):
-            with open(os.path.join(path, name), encoding="utf-8") as manifest:
-                for part in json.load(manifest)["files"]:
-                    with open(os.path.join(path, part["file"]), encoding="utf-8") as statements:
-                        lines.extend(statements.read().splitlines())
-    return lines
+def committed_files(path: str) -> list[str]:
+    """Files of the committed batches, as paths to read: one short text per task of a batch."""
+    files, base = _target(path)
+    found = []
+    for info in sorted(files.get_file_info(fs.FileSelector(base)), key=lambda i: i.base_name):
+        if info.base_name.startswith("batch-") and info.extension == "json":
+            with files.open_input_stream(info.path) as manifest:
+                listed = json.loads(manifest.read())["files"]
+            found += [f"{path.rstrip('/')}/{part['file']}" for part in listed]
+    return found
+
+
+def committed_statements(spark: SparkSession, path: str) -> DataFrame:
+    """Statements of the committed batches, one per row."""
+    found = committed_files(path)
+    if not found:
+        return spark.createDataFrame([], "statement string")
+    return spark.read.text(found).withColumnRenamed("value", "statement")
 
 
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(NumberedSource)
-    spark.dataSource.register(StatementsSink)
+    """Make both formats known to the session and to the thread's active one, where Spark looks a sink up."""
+    for session in (spark, SparkSession.getActiveSession() or spark):
+        session.dataSource.register(NumberedSource)
+        session.dataSource.register(StatementsSink)

@@ -4,38 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from sparkloom.scratch import new_dir
 
-PARTITIONS = "spark.sql.shuffle.partitions"
-
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """Partitions of a new stream's state: the session's number, on a local master at most one per core."""
-    wanted = int(spark.conf.get(PARTITIONS))
-    context = spark.sparkContext
-    return min(wanted, context.defaultParallelism) if context.master.startswith("local") else wanted
-
-
 def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process all available input in micro-batches, then stop; a failure of the stream is raised.
 
-    A query copies the session's settings when it starts, so the number of state partitions is set for
-    the start only. It then belongs to the checkpoint.
+    The state store and its number of partitions are the session's (see `session.state_settings`).
     """
-    spark = SparkSession.active()
-    before = spark.conf.get(PARTITIONS)
-    spark.conf.set(PARTITIONS, state_partitions(spark))
-    try:
-        query = (writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(PARTITIONS, before)
-    query.awaitTermination()
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def start_empty(df: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -12,9 +13,18 @@ from pyspark.sql import types as T
 
 from sparkloom.functions.timestamps import as_instant
 
-SLICES = 4
+LEAST_SLICES = 4
+ROWS_PER_SLICE = 50_000_000
 ROWS_PER_FILE = 5_000_000
 
+#: The number of slices in SQL, from the same parameters.
+SLICES_SQL = f"(select greatest({LEAST_SLICES}, (count(*) + {ROWS_PER_SLICE - 1}) // {ROWS_PER_SLICE}) from events)"
+
+
+def slices_for(rows: int) -> int:
+    """Micro-batches of bounded size, at least a few."""
+    return max(LEAST_SLICES, -(-rows // ROWS_PER_SLICE))
+
 
 @dataclass(frozen=True)
 class Arrivals:
@@ -25,37 +35,57 @@ class Arrivals:
     files_per_slice: int
 
 
+def _edges(low, high, slices: int) -> list:
+    width = timedelta(microseconds=(high - low) // timedelta(microseconds=1) // slices + 1)
+    return [low + width * i for i in range(slices + 1)]
+
+
 def slice_edges(df: DataFrame, ts: str, slices: int):
     """Edges of equal time slices over the whole column: [e0, e1), [e1, e2), ... (none without times)."""
     low, high = df.agg(F.min(ts), F.max(ts)).first()
-    if low is None:
-        return []
-    width = timedelta(microseconds=(high - low) // timedelta(microseconds=1) // slices + 1)
-    return [low + width * i for i in range(slices + 1)]
+    return [] if low is None else _edges(low, high, slices)
+
+
+def _files(spark: SparkSession, path: str, after):
+    """Number of data files, of those newer than `after`, and the newest time; file contents are not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("modificationTime")
+    newer = F.lit(True) if after is None else F.col("modificationTime") > F.lit(after)
+    return found.agg(F.count(F.lit(1)), F.count(F.when(newer, 1)), F.max("modificationTime")).first()
 
 
-def stage_arrivals(df: DataFrame, ts: str, path: str, slices: int = SLICES,
+def stage_arrivals(df: DataFrame, ts: str, path: str, slices: int | None = None,
                    rows_per_file: int = ROWS_PER_FILE) -> Arrivals:
     """Write the table slice after slice, oldest first, so file times follow event times.
 
-    `ts` is zone-less in the table and written as an instant, which watermarks need. Every slice is
-    cut into the same number of files, so that many files per trigger gives one slice per
-    micro-batch. The slice filters are plain ranges on the stored column. Rows without a time have no
-    place in the order and come last, as a slice of their own.
+    `ts` is zone-less in the table and written as an instant, which watermarks need. Every slice has the
+    same number of files, short ones some without rows, so that as many files per trigger give one slice
+    per micro-batch whatever the slices' sizes; both that and rising file times are checked. The slice
+    filters are plain ranges on the stored column. Rows without a time have no place in the order and come
+    last, as a slice of their own.
     """
-    instants = as_instant(df, ts)
-    if df.isEmpty():
+    spark, instants = df.sparkSession, as_instant(df, ts)
+    low, high, rows = df.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
+    if not rows:
         instants.write.mode("append").parquet(path)
         return Arrivals(path, instants.schema, 1)
-    edges = slice_edges(df, ts, slices)
+    edges = [] if low is None else _edges(low, high, slices or slices_for(rows))
     literals = [F.expr(f"timestamp_ntz'{e.isoformat(sep=' ')}'") for e in edges]
     parts = [(F.col(ts) >= a) & (F.col(ts) < b) for a, b in zip(literals, literals[1:])] + [F.col(ts).isNull()]
     number = F.coalesce(*[F.when(part, i) for i, part in enumerate(parts)])
     sizes = {r["slice"]: r["n"] for r in
-             df.groupBy(number.alias("slice")).agg(F.count(F.lit(1)).alias("n")).collect()}
+             df.groupBy(number.alias("slice")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per slice
     files = max(1, math.ceil(max(sizes.values()) / rows_per_file))
+    total, newest = 0, None
     for i in sorted(sizes):
+        time.sleep(0.02)  # file times have a resolution; equal ones would mix two slices
         as_instant(df.filter(parts[i]).repartition(files), ts).write.mode("append").parquet(path)
+        total += files
+        for _ in range(total - _files(spark, path, newest)[0]):
+            spark.createDataFrame([], instants.schema).coalesce(1).write.mode("append").parquet(path)
+        count, newer, last = _files(spark, path, newest)
+        if count != total or newer != files:
+            raise RuntimeError(f"slice {i} has {newer} files of {files} after the ones before it")
+        newest = last
     return Arrivals(path, instants.schema, files)
 
 

@@ -78,19 +78,18 @@ def join_interval(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
                   left_delay: str, right_delay: str, salt_on: Sequence[str] = (), salts: int = 1) -> DataFrame:
     """Stream-stream inner join: equal keys and event times at most `seconds` apart, both ways.
 
-    The bound both ways lets both states be cleaned. A time bucket as wide as the bound is added to
-    the equi key (each right row visits three buckets), so a hot key is spread over time and rows are
-    compared with their neighbours only; salts > 1 spread it further, as in `join_same_window`. The
-    two frames may share only the key column.
+    The bound both ways lets both states be cleaned. A time bucket of four times the bound is added to the
+    equi key. A right row is stored in the buckets that its bound reaches, one and a half on average, so a
+    hot key is spread over time and rows are compared with near ones only; salts > 1 spread it further, as
+    in `join_same_window`. The two frames may share only the key column.
     """
-    def bucket(ts: str) -> Column:
-        return F.floor(F.unix_seconds(ts) / F.lit(seconds))
+    def bucket(ts: str, shift: int = 0) -> Column:
+        return F.floor((F.unix_seconds(ts) + F.lit(shift)) / F.lit(4 * seconds))
 
     lb = left.withColumn("left_bucket", bucket(left_ts)).withWatermark(left_ts, left_delay)
-    rb = (right.withWatermark(right_ts, right_delay)
-               .withColumn("right_bucket",
-                           F.explode(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]),
-                                                 lambda i: i + bucket(right_ts))))
+    # Left times have fractions of seconds; one second more on either side keeps whole seconds right.
+    reached = F.sequence(bucket(right_ts, -seconds - 1), bucket(right_ts, seconds + 1))
+    rb = (right.withWatermark(right_ts, right_delay).withColumn("right_bucket", F.explode(reached))
                .withColumnRenamed(key, "right_key"))
     bound = F.expr(f"interval {seconds} seconds")
     condition = ((F.col(key) == F.col("right_key")) & (F.col("left_bucket") == F.col("right_bucket"))
@@ -103,6 +102,24 @@ def join_interval(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
               .drop("left_bucket", "right_bucket", "right_key", "left_salt", "right_salt"))
 
 
+def join_not_after(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, seconds: int,
+                   left_delay: str, right_delay: str, salt_on: Sequence[str] = (), salts: int = 1) -> DataFrame:
+    """Stream-stream inner join: equal keys, the left time at most `seconds` after the right one.
+
+    Bounded on one side only: right rows leave the state once the left watermark has passed their bound, but
+    left rows wait for later right rows as long as the query runs. Without a lower bound there is no time
+    bucket; salts > 1 spread a hot key. The two frames may share only the key column.
+    """
+    lb = left.withWatermark(left_ts, left_delay)
+    rb = right.withWatermark(right_ts, right_delay).withColumnRenamed(key, "right_key")
+    condition = ((F.col(key) == F.col("right_key"))
+                 & (F.col(left_ts) <= F.col(right_ts) + F.expr(f"interval {seconds} seconds")))
+    if salts > 1:
+        lb, rb = _salted_sides(lb, rb, salt_on, salts)
+        condition = condition & (F.col("left_salt") == F.col("right_salt"))
+    return lb.join(rb, condition, "inner").drop("right_key", "left_salt", "right_salt")
+
+
 def enrich(stream: DataFrame, static: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stream-static left join: every stream row stays."""
     return stream.join(static, list(keys), "left")

@@ -229,22 +229,65 @@ def test_late_rows_are_judged_by_the_watermark_before(spark, out):
     assert sorted(r.k for r in got.collect()) == ["a", "b"]
 
 
-def test_state_on_disk_gives_the_same_result(spark, sf_dir, arrivals):
-    from sparkloom.session import STATE_STORE
+def test_state_is_off_the_heap(spark, arrivals, tmp_path):
+    unique = stateful.dedup(stream_arrivals(spark, arrivals), ["user_id", "event_type"])
+    query = (unique.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    state = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+    assert state and all(any("rocksdb" in name for name in s["customMetrics"]) for s in state)
 
-    def run():
-        unique = stateful.dedup(stream_arrivals(spark, arrivals), ["user_id", "event_type"])
-        return sorted((r.user_id, r.event_type) for r in runner.append_result(unique).collect())
 
-    in_memory = run()
-    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
-    try:
-        for key, value in STATE_STORE.items():
-            spark.conf.set(key, value)
-        assert run() == in_memory
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+def test_state_settings_bound_the_partitions(spark):
+    from sparkloom.session import child_session, state_settings
+    cores = spark.sparkContext.defaultParallelism
+    many = child_session(spark, {"spark.sql.shuffle.partitions": "5000"})
+    assert state_settings(many)["spark.sql.shuffle.partitions"] == str(2 * cores)
+    assert state_settings(spark)["spark.sql.shuffle.partitions"] == "4"
+
+
+@pytest.mark.parametrize("sizes", [(100, 1, 100, 1), (1, 1, 95, 7)])
+def test_uneven_slices_stay_apart(spark, out, tmp_path, sizes):
+    rows = [(NOON + dt.timedelta(hours=h, seconds=k), h * 1000 + k) for h, n in enumerate(sizes) for k in range(n)]
+    rows.append((NOON + dt.timedelta(hours=len(sizes)) - dt.timedelta(seconds=1), 99_999))
+    staged = stage_arrivals(spark.createDataFrame(rows, "ts timestamp_ntz, k int"), "ts", out, slices=4, rows_per_file=10)
+    assert staged.files_per_slice > 1
+    seen = {}
+    runner.run_available(stream_arrivals(spark, staged).writeStream.foreachBatch(
+        batch_writers.counted(runner.per_batch_writer(str(tmp_path / "w")), lambda b, n: seen.update({b: n}))),
+        str(tmp_path / "c"))
+    assert [seen[k] for k in sorted(seen)] == [*sizes[:-1], sizes[-1] + 1]
+
+
+def test_late_data_does_not_depend_on_file_counts(spark, sf_dir, monkeypatch):
+    import __spark_entry__ as entry_module
+    from check_oracle import compare, connect
+    from sparkloom.streaming import staging
+    monkeypatch.setattr(staging.stage_arrivals, "__defaults__", (None, 40))
+    monkeypatch.setattr("sparkloom.scratch._staged", {})
+    df = entry_module.queries()["st_late_data"](spark, sf_dir)
+    assert compare(connect(sf_dir), entry_module.oracle_sql()["st_late_data"], df) is None
+
+
+def test_slices_grow_with_the_rows():
+    from sparkloom.streaming import staging
+    assert staging.slices_for(10) == 4 and staging.slices_for(10**9) == 20
+
+
+def test_one_sided_join_keeps_early_clicks(spark, tmp_path):
+    clicks = [(NOON, "u", 1), (NOON + dt.timedelta(hours=3), "u", 2), (NOON + dt.timedelta(hours=9), "u", 3)]
+    buys = [(NOON + dt.timedelta(hours=2), "u", 10), (NOON + dt.timedelta(hours=8), "u", 11)]
+    write_files(spark, str(tmp_path / "l"), [clicks[:2], clicks[2:]], "lt timestamp, k string, l int")
+    write_files(spark, str(tmp_path / "r"), [buys[:1], buys[1:]], "rt timestamp, k string, r int")
+    left = one_file_per_batch(spark, str(tmp_path / "l"), "lt timestamp, k string, l int")
+    right = one_file_per_batch(spark, str(tmp_path / "r"), "rt timestamp, k string, r int")
+    for join, want in ((stateful.join_not_after, [(1, 10), (1, 11), (2, 10), (2, 11), (3, 11)]),
+                       (stateful.join_interval, [(2, 10), (3, 11)])):
+        got = runner.append_result(join(left, right, "k", "lt", "rt", 3600, "20 hours", "20 hours").select("l", "r"))
+        assert sorted(tuple(r) for r in got.collect()) == want
+        salted = runner.append_result(join(left, right, "k", "lt", "rt", 3600, "20 hours", "20 hours", ["l"], 3)
+                                      .select("l", "r"))
+        assert sorted(tuple(r) for r in salted.collect()) == want
 
 
 def test_append_without_watermark_is_refused(spark, arrivals):
@@ -322,20 +365,21 @@ def test_custom_sink(spark, sf_dir, arrivals, tmp_path):
     stream = inserts.render_inserts(stream_arrivals(spark, arrivals).select("event_id", "ts", "event_type"), "foo")
     runner.run_available(stream.writeStream.format(custom.SINK_NAME).option("path", target), str(tmp_path / "c"))
     want = inserts.render_inserts(table(spark, sf_dir, "events").select("event_id", "ts", "event_type"), "foo")
-    assert sorted(custom.committed_statements(target)) == sorted(r.statement for r in want.collect())
+    got = sorted(r.statement for r in custom.committed_statements(spark, target).collect())
+    assert got == sorted(r.statement for r in want.collect())
+    assert custom.committed_statements(spark, f"file://{target}").count() == len(got)
     with pytest.raises(Exception):
         runner.run_available(stream_arrivals(spark, arrivals).writeStream.format(custom.SINK_NAME)
                              .option("path", target), str(tmp_path / "c2"))
 
 
-def test_custom_sink_leaves_uncommitted_files_out(tmp_path):
-    writer = custom.StatementsWriter(str(tmp_path))
+def test_custom_sink_leaves_uncommitted_files_out(spark, tmp_path):
+    writer = custom.StatementsWriter(f"file://{tmp_path}")
     (tmp_path / "part-00000-x.sql").write_text("INSERT 1\n")
     writer.abort([custom.WrittenFile("part-00000-x.sql", 1), None], 0)
     assert not (tmp_path / "part-00000-x.sql").exists()
-    (tmp_path / "part-00000-y.sql").write_text("INSERT 2\n")
-    (tmp_path / "part-00000-z.sql").write_text("INSERT 3\n")
-    writer.commit([custom.WrittenFile("part-00000-z.sql", 1)], 0)
-    assert custom.committed_statements(str(tmp_path)) == ["INSERT 3"]
-
-
+    for name in "yzw":
+        (tmp_path / f"part-00000-{name}.sql").write_text(f"INSERT {name}\n")
+    writer.commit([custom.WrittenFile("part-00000-y.sql", 1)], 0)
+    writer.commit([custom.WrittenFile("part-00000-z.sql", 1)], 0)  # the batch is repeated
+    assert [r.statement for r in custom.committed_statements(spark, str(tmp_path)).collect()] == ["INSERT z"]
