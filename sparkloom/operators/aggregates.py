@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators.joins import join_aggregate, null_safe_join
 from sparkloom.operators.positions import group_row_number
-from sparkloom.scratch import freeze
 
 
 def salted_count(df: DataFrame, key: str, salt_on: Sequence[str], salts: int = 10,
@@ -41,39 +40,54 @@ def with_share_of_group(df: DataFrame, outer: str, inner: str) -> DataFrame:
 
 def collect_list_chunked(df: DataFrame, keys: list[str], value: str, order: list[str],
                          chunk_rows: int = 1000) -> DataFrame:
-    """collect_list per key, ascending by `order`, in lists of at most `chunk_rows`, nothing dropped.
+    """collect_list per key, ascending by `order`, in lists of at most `chunk_rows` values, nulls skipped.
 
-    A key with few rows gives one list, from a plain grouping. Keys with more rows than that are found
-    by a count; their rows are numbered without gathering a key in one task and give several rows,
-    `chunk` 0, 1, ... each with its part of the list.
+    A key gives the rows `chunk` 0, 1, ... with n values each, only the last list being shorter; a key
+    without a value gives one empty list. Rows are numbered without gathering a key in one task, so a list
+    is all that a task holds of a key.
     """
-    many = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > chunk_rows)
-    many = freeze(df.sparkSession, many.select(*keys), "long-lists")
-
-    def lists(rows: DataFrame, sort_by: list[str], *group: str) -> DataFrame:
-        items = F.sort_array(F.collect_list(F.struct(*sort_by, F.col(value).alias("__value"))))
-        return rows.groupBy(*keys, *group).agg(
-            F.count(F.lit(1)).alias("n"), F.transform(items, lambda item: item["__value"]).alias("items"))
-
-    if many.isEmpty():
-        return lists(df, order).select(*keys, F.lit(0).alias("chunk"), "n", "items")
-    short = null_safe_join(df, many, keys, "left_anti")
-    placed = group_row_number(null_safe_join(df, many, keys, "left_semi"), keys, order, "__rn")
+    rows = df.select(*dict.fromkeys([*keys, *order, value])).withColumn("__none", F.col(value).isNull())
+    placed = group_row_number(rows, keys, ["__none", *order], "__rn")
     placed = placed.withColumn("chunk", F.expr(f"cast((__rn - 1) div {chunk_rows} as int)"))
-    columns = [*keys, "chunk", "n", "items"]
-    return (lists(short, order).withColumn("chunk", F.lit(0)).select(*columns)
-            .unionByName(lists(placed, ["__rn"], "chunk").select(*columns)))
-
-
-def pivot_sum(df: DataFrame, key: str, column: str, values: Sequence, measure: Column) -> DataFrame:
-    """Pivot with known values, which saves the job that would list them; empty cells are null."""
+    items = F.sort_array(F.collect_list(F.when(~F.col("__none"), F.struct("__rn", F.col(value).alias("__value")))))
+    return (placed.groupBy(*keys, "chunk").agg(F.transform(items, lambda item: item["__value"]).alias("items"))
+            .withColumn("n", F.size("items").cast("long")).filter("n > 0 or chunk = 0")
+            .select(*keys, "chunk", "n", "items"))
+
+
+def distinct_values(df: DataFrame, column: str, most: int) -> list:
+    """All values of a column, null last; more than `most` are an error, none is left out."""
+    rows = df.select(column).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"column {column} has more than {most} values")
+    return sorted((r[0] for r in rows), key=lambda v: (v is None, v))
+
+
+def pivot_sum(df: DataFrame, key: str, column: str, measure: Column, values: Sequence | None = None,
+              most_values: int = 1000) -> DataFrame:
+    """Sums in a column per value; empty cells are null. The values are listed by a job unless they are
+    given; rows with other values than given ones are an error, not lost."""
+    if values is None:
+        values = distinct_values(df, column, most_values)
+    else:
+        known = [v for v in values if v is not None]
+        other = ~F.col(column).isin(known) if known else F.lit(True)
+        if None not in values:
+            other = other | F.col(column).isNull()
+        df = df.withColumn(column, F.when(other, F.raise_error(F.lit(f"unlisted value in {column}")))
+                           .otherwise(F.col(column)))
     return df.groupBy(key).pivot(column, list(values)).agg(F.sum(measure))
 
 
 def letter_counts(df: DataFrame, text: str) -> DataFrame:
-    """How often each character occurs, lower-cased; combined on the map side before the shuffle."""
-    letters = df.select(F.explode(F.split(F.lower(F.col(text)), "")).alias("letter"))
-    counts = letters.groupBy("letter").agg(F.count(F.lit(1)).alias("n"))
+    """How often each character but blanks occurs, lower-cased.
+
+    Distinct words are counted first (combined on the map side), and each one's letters count as often.
+    """
+    words = (df.select(F.explode(F.split(F.lower(F.col(text)), " ")).alias("word"))
+             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    letters = words.select(F.explode(F.split("word", "")).alias("letter"), "n")
+    counts = letters.groupBy("letter").agg(F.sum("n").alias("n"))
     return counts.filter(F.trim("letter") != "")
 
 

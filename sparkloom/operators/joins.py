@@ -10,25 +10,18 @@ from pyspark.sql import functions as F
 
 from sparkloom.scratch import freeze
 
-MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                   max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Measure a side in rows and bytes.
-
-    `take` reads a few partitions at a time and stops early, so a large side costs little; only row
-    sizes, max_rows + 1 of them at most, reach the driver.
-    """
-    sizes = df.select(F.octet_length(F.to_json(F.struct("*")))).take(max_rows + 1)
-    return len(sizes) <= max_rows and sum(size for (size,) in sizes) <= max_bytes
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size, from file sizes and the plan; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when the side is proven small; otherwise Spark chooses the join."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when the optimizer's estimate is within the bound; otherwise Spark chooses, and
+    adaptive execution may still broadcast what turns out small."""
+    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
 
 
 def sort_merge_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -51,26 +44,38 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop(*renamed.values())
 
 
-def theta_join(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
-    """Non-equi inner join. The right side is copied to every task when it is proven small."""
-    return left.join(broadcast_if_small(right), condition, "inner")
+def _bounded(df: DataFrame, most_rows: int) -> DataFrame:
+    """The frame itself; an error when it does not keep the bound that the caller declares for it."""
+    if df.count() > most_rows:
+        raise ValueError(f"the side declared as bounded has more than {most_rows} rows")
+    return df
+
 
+def theta_join(left: DataFrame, right: DataFrame, condition: Column, most_right_rows: int) -> DataFrame:
+    """Non-equi inner join. The caller declares how many rows the right side has at most; it is copied to
+    every task, so the left side may have any size and is not shuffled."""
+    return left.join(F.broadcast(_bounded(right, most_right_rows)), condition, "inner")
 
-def cartesian(left: DataFrame, right: DataFrame) -> DataFrame:
-    """All pairs; refuses two sides that are both unbounded, as the output would be their product."""
-    if not (fits_broadcast(right) or fits_broadcast(left)):
-        raise ValueError("a cartesian product needs one side of bounded size")
-    return left.crossJoin(right)
 
+def cartesian(left: DataFrame, right: DataFrame, most_right_rows: int) -> DataFrame:
+    """All pairs of a side of any size and one whose number of rows the caller bounds."""
+    return left.crossJoin(_bounded(right, most_right_rows))
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """Keys with more than `hot_rows` rows, each with `__salts`: tasks that share it, hot_rows rows each.
 
-    Written to the shared folder, with at most rows / hot_rows entries.
+    Without a number a key is hot when it has more rows than a shuffle partition would get if all were
+    equal. Written to the shared folder, with at most rows / hot_rows entries.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-    return freeze(df.sparkSession,
-                  counted.select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts")), "hot-keys")
+    spark = df.sparkSession
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    if hot_rows is None:
+        counted = freeze(spark, counted, "key-counts")
+        rows = counted.agg(F.sum("__n")).first()[0] or 0
+        hot_rows = max(1, -(-rows // int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    counted = counted.filter(F.col("__n") > hot_rows)
+    return freeze(spark, counted.select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts")), "hot-keys")
 
 
 def with_salt(df: DataFrame, hot: DataFrame, keys: Sequence[str], salt_on: Sequence[str]) -> DataFrame:
@@ -84,8 +89,9 @@ def with_salt(df: DataFrame, hot: DataFrame, keys: Sequence[str], salt_on: Seque
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_on: Sequence[str],
-                how: str = "inner", hot_rows: int = 1_000_000) -> DataFrame:
-    """Equi join in which no key brings much more than `hot_rows` left rows to one task.
+                how: str = "inner", hot_rows: int | None = None) -> DataFrame:
+    """Equi join in which no key brings much more than `hot_rows` left rows (by default a partition's even
+    share) to one task.
 
     Only the matches of hot keys are repeated, once per salt. `how` may be inner, left, left_semi or
     left_anti: every left row meets one copy of each match.
@@ -100,6 +106,13 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_on:
     return with_salt(left, hot, keys, salt_on).join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
+def slice_bounds(df: DataFrame, column: str, slices: int) -> list:
+    """Bounds that cut the rows into about equal slices: distinct approximate quantiles of the column."""
+    shares = [i / slices for i in range(1, slices)]
+    found = df.agg(F.percentile_approx(column, shares, 10_000).alias("b")).first()["b"]
+    return sorted(set(found or []))
+
+
 def sliced_join(left: DataFrame, right: DataFrame, keys: Sequence[str], slice_by: str,
                 bounds: Sequence, how: str = "inner") -> DataFrame:
     """Join slice by slice on a column both sides share, then union all slices.
@@ -139,7 +152,7 @@ def with_group_count(df: DataFrame, keys: Sequence[str], name: str = "n") -> Dat
 
 
 def prepartitioned_self_agg(df: DataFrame, key: str, partitions: int, salt_on: Sequence[str] = (),
-                            hot_rows: int = 1_000_000, name: str = "n") -> DataFrame:
+                            hot_rows: int | None = None, name: str = "n") -> DataFrame:
     """Rows joined to their group count over one shared hash partitioning of the rows.
 
     The rows are shuffled once; the counting and the row side of the join both use that partitioning.

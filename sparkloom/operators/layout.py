@@ -22,10 +22,10 @@ def balanced_for_write(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def file_partitions(df: DataFrame) -> DataFrame:
-    """Files behind a scan: path, size and rows of each."""
-    return (df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size"))
-              .groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("n")))
+    """Pieces of files behind a scan: path, size of the file, byte range and rows of each."""
+    names = ("file_path", "file_size", "file_block_start", "file_block_length")
+    return (df.select(*[F.col(f"_metadata.{n}").alias(n) for n in names])
+              .groupBy(*names).agg(F.count(F.lit(1)).alias("n")))
 
 
 def reproducible_sample(df: DataFrame, keys: list[str], percent: int) -> DataFrame:

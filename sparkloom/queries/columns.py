@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,16 +64,13 @@ def proj_drop(spark, sf_dir):
     from orders, (values ('attribute'), ('col'), ('string'), ('expr')) v(notation)
     where o_totalprice > 300000""")
 def filter_notations(spark, sf_dir):
-    """The same predicate in four notations."""
+    """The same predicate in four notations, over one scan."""
     orders = table(spark, sf_dir, "orders")
     forms = {"attribute": orders.o_totalprice > 300000, "col": F.col("o_totalprice") > 300000,
-             "string": "o_totalprice > 300000", "expr": F.expr("o_totalprice > 300000")}
-    parts = [orders.filter(p).select(F.lit(n).alias("notation"), "o_orderkey", "o_totalprice")
-             for n, p in forms.items()]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.union(part)
-    return result
+             "string": F.expr("o_totalprice > 300000"), "expr": F.expr("o_totalprice") > F.lit(300000)}
+    any_of = functools.reduce(lambda a, b: a | b, forms.values())
+    named = F.explode(F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in forms.items()])))
+    return orders.filter(any_of).select(named.alias("notation"), "o_orderkey", "o_totalprice")
 
 
 @query("filter_bool", f"""
@@ -119,10 +118,11 @@ def filter_year_month(spark, sf_dir):
     select 'any' as how, o_orderkey from ({NULLED_SQL})
     where status is not null and priority is not null and price is not null""")
 def na_drop(spark, sf_dir):
+    """Rows that either form of the drop keeps, over one scan: `all` drops what `any` drops and less."""
     df, subset = nulled_orders(spark, sf_dir), list(NULLED)
-    parts = [df.na.drop(how, subset=subset).select(F.lit(how).alias("how"), "o_orderkey")
-             for how in ("all", "any")]
-    return parts[0].union(parts[1])
+    whole = functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in subset])
+    how = F.when(whole, F.array(F.lit("all"), F.lit("any"))).otherwise(F.array(F.lit("all")))
+    return df.na.drop("all", subset=subset).select(F.explode(how).alias("how"), "o_orderkey")
 
 
 @query("na_fill", f"""

@@ -53,13 +53,14 @@ def join_expr_alias(spark, sf_dir):
 def join_theta(spark, sf_dir):
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey")
-    return joins.theta_join(supplier, nation, F.col("s_nationkey") < F.col("n_nationkey"))
+    return joins.theta_join(supplier, nation, F.col("s_nationkey") < F.col("n_nationkey"),
+                            most_right_rows=1000)
 
 
 @query("join_broadcast", """
     select s_suppkey, s_name, n_name from supplier join nation on s_nationkey = n_nationkey""")
 def join_broadcast(spark, sf_dir):
-    """The nation side is measured, then broadcast."""
+    """The nation side is small by the optimizer's estimate and broadcast."""
     supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     return (supplier.join(joins.broadcast_if_small(nation), F.col("s_nationkey") == F.col("n_nationkey"))
             .select("s_suppkey", "s_name", "n_name"))
@@ -77,9 +78,9 @@ def join_sort_merge(spark, sf_dir):
 
 @query("join_cartesian", "select s_suppkey, r_regionkey, r_name from supplier cross join region")
 def join_cartesian(spark, sf_dir):
-    """All pairs with a side of proven size: the output grows with the supplier table only."""
+    """All pairs with a side of declared size: the output grows with the supplier table only."""
     return joins.cartesian(table(spark, sf_dir, "supplier").select("s_suppkey"),
-                           table(spark, sf_dir, "region"))
+                           table(spark, sf_dir, "region"), most_right_rows=1000)
 
 
 @query("join_null_safe", """
@@ -90,7 +91,7 @@ def join_null_safe(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey",
                                                    F.expr("nullif(o_orderpriority, '5-LOW')").alias("priority"))
     counts = orders.groupBy("priority").agg(F.count(F.lit(1)).alias("n"))
-    return joins.null_safe_join(orders, counts, ["priority"])
+    return joins.join_aggregate(orders, counts, ["priority"])
 
 
 @query("join_self_agg", """
@@ -107,8 +108,7 @@ def join_prepartitioned(spark, sf_dir):
     """One salted hash partitioning feeds the aggregate and the join."""
     lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return joins.prepartitioned_self_agg(lines, "l_suppkey", partitions, ["l_orderkey", "l_linenumber"],
-                                         hot_rows=500)
+    return joins.prepartitioned_self_agg(lines, "l_suppkey", partitions, ["l_orderkey", "l_linenumber"])
 
 
 @query("join_sliced_union", """
@@ -119,7 +119,7 @@ def join_sliced_union(spark, sf_dir):
     """A skewed join cut into date slices that are joined one by one and united."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("day"))
     days = orders.groupBy("day").agg(F.count(F.lit(1)).alias("orders_that_day"))
-    bounds = [F.expr(f"timestamp_ntz'{y}-01-01'") for y in (1996, 1998, 2000)]
+    bounds = [F.lit(b) for b in joins.slice_bounds(orders, "day", 3)]
     return joins.sliced_join(orders, days, ["day"], "day", bounds).select("o_orderkey", "day", "orders_that_day")
 
 
@@ -129,7 +129,7 @@ def join_salted(spark, sf_dir):
     """The skewed join without slices: a salt spreads the hot keys of the big side."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    return (joins.salted_join(orders, customer, ["o_custkey"], ["o_orderkey"], hot_rows=20)
+    return (joins.salted_join(orders, customer, ["o_custkey"], ["o_orderkey"])
             .select("o_orderkey", "o_custkey", "c_name"))
 
 

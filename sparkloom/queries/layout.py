@@ -9,17 +9,14 @@ from sparkloom.registry import query, table
 
 
 @query("layout_partition_counts", """
-    select case when l_quantity <= 45 then 'usual' else 'large' end as kind, count(*) as n
+    select l_orderkey // 4 as order_group, count(*) as n, 1::bigint as partitions, true as all_here
     from lineitem group by 1""")
 def layout_partition_counts(spark, sf_dir):
-    """Rows per partition after repartitioning by an uneven expression, added up per value.
-
-    A salt beside the expression keeps the large value from filling one partition.
-    """
+    """Rows per partition after repartitioning by an expression: each value lies in one partition only, and
+    that partition holds all its rows."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kind = F.when(F.col("l_quantity") <= 45, "usual").otherwise("large")
-    lines = table(spark, sf_dir, "lineitem").select(
-        kind.alias("kind"),
-        F.pmod(F.xxhash64("l_orderkey", "l_partkey", "l_suppkey"), F.lit(partitions)).alias("salt"))
-    counts = layout.partition_counts(lines.repartition(partitions, "kind", "salt"), "kind")
-    return counts.groupBy("kind").agg(F.sum("n").alias("n"))
+    lines = table(spark, sf_dir, "lineitem").select(F.expr("l_orderkey div 4").alias("order_group"))
+    counts = layout.partition_counts(lines.repartition(partitions, "order_group"), "order_group")
+    return counts.groupBy("order_group").agg(
+        F.sum("n").alias("n"), F.count_distinct("partition_id").alias("partitions"),
+        (F.max("n") == F.sum("n")).alias("all_here"))

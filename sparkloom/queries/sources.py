@@ -159,12 +159,13 @@ def src_merge_schema(spark, sf_dir):
 
 @query("src_multi_path", "select o_orderkey, o_custkey, o_totalprice from orders")
 def src_multi_path(spark, sf_dir):
-    """One path per status, one of which does not exist."""
+    """All paths that were written, one per status, and one that does not exist."""
     path = stage_once(spark, sf_dir, "orders-by-status",
                       lambda p: writers.write_partitioned(
                           table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
                                                                 "o_orderstatus"), p, ["o_orderstatus"]))
-    return files.parquet_existing(spark, [f"{path}/o_orderstatus={s}" for s in ("F", "missing", "O", "P")])
+    written = sorted({file.rsplit("/", 1)[0] for file in spark.read.parquet(path).inputFiles()})
+    return files.parquet_existing(spark, [f"{path}/o_orderstatus=missing", *written])
 
 
 # --- Kafka replica: events as a stored topic with the connector's seven columns ----------------
@@ -213,31 +214,9 @@ def kafka_offset_range(spark, sf_dir):
     """The middle half of every partition: start offset inclusive, end offset exclusive."""
     topic = as_instant(event_topic(spark, sf_dir), "timestamp")
     ends = connectors.end_offsets(topic)
-    keep = connectors.in_offset_range({p: e // 4 for p, e in ends.items()},
+    part = connectors.in_offset_range(topic, {p: e // 4 for p, e in ends.items()},
                                       {p: e * 3 // 4 for p, e in ends.items()})
-    return connectors.kafka_decode(topic.filter(keep), EVENT_VALUE).select("partition", "offset", "event_id")
-
-
-@query("jdbc_stride_skew", """
-    with b as (select (max(x) - min(x)) // 8 as stride, min(x) as lo
-               from (select cast(floor(o_totalprice * o_totalprice / 1000000) as bigint) as x from orders)),
-         o as (select cast(floor(o_totalprice * o_totalprice / 1000000) as bigint) as x from orders)
-    select cast(case when x < lo + stride then 0 when x < lo + stride * 2 then 1
-                     when x < lo + stride * 3 then 2 when x < lo + stride * 4 then 3
-                     when x < lo + stride * 5 then 4 when x < lo + stride * 6 then 5
-                     when x < lo + stride * 7 then 6 else 7 end as int) as part,
-           count(*) as n
-    from o, b group by 1""")
-def jdbc_stride_skew(spark, sf_dir):
-    """Rows that each partition of a JDBC scan with equal strides would get, on an uneven key."""
-    x = F.floor(F.col("o_totalprice") * F.col("o_totalprice") / 1000000)
-    keyed = table(spark, sf_dir, "orders").select(x.alias("x"))
-    low, high = keyed.agg(F.min("x"), F.max("x")).first()
-    part = F.lit(None)
-    predicates = connectors.jdbc_predicates("x", connectors.stride_cuts(low, high, 8))
-    for i, predicate in reversed(list(enumerate(predicates))):
-        part = F.when(F.expr(predicate), F.lit(i)).otherwise(part)
-    return keyed.groupBy(part.cast("int").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    return connectors.kafka_decode(part, EVENT_VALUE).select("partition", "offset", "event_id")
 
 
 @query("sql_entry", """

@@ -50,12 +50,6 @@ def balanced_cuts(df: DataFrame, column: str, partitions: int) -> list[int]:
     return sorted(set(row["cuts"] or []))
 
 
-def stride_cuts(lower: int, upper: int, partitions: int) -> list[int]:
-    """Cut points of equal strides between the bounds."""
-    stride = (upper - lower) // partitions
-    return [lower + stride * i for i in range(1, partitions)]
-
-
 # --- Elasticsearch ----------------------------------------------------------------------------
 
 def elastic_options(nodes: str, wan_only: bool = False, refresh_on_write: bool = False) -> dict[str, str]:
@@ -145,15 +139,17 @@ def kafka_decode(records: DataFrame, schema) -> DataFrame:
                    .select("topic", "partition", "offset", "value.*"))
 
 
-def in_offset_range(start: Mapping[int, int], end: Mapping[int, int]) -> Column:
-    """The rows of a stored topic that an offset-range scan of the same spec would give."""
+def in_offset_range(records: DataFrame, start: Mapping[int, int], end: Mapping[int, int]) -> DataFrame:
+    """The rows of a stored topic that an offset-range scan of the same spec would give.
+
+    The spec has one row per topic partition and is joined, however many there are.
+    """
     if set(start) != set(end):
         raise ValueError("start and end must name the same partitions")
-    keep = F.lit(False)
-    for part in sorted(start):
-        keep = keep | ((F.col("partition") == part) & (F.col("offset") >= start[part])
-                       & (F.col("offset") < end[part]))
-    return keep
+    spec = records.sparkSession.createDataFrame([(p, start[p], end[p]) for p in sorted(start)],
+                                                "partition int, __from bigint, __to bigint")
+    inside = (F.col("offset") >= F.col("__from")) & (F.col("offset") < F.col("__to"))
+    return records.join(F.broadcast(spec), "partition").filter(inside).select(*records.columns)
 
 
 def end_offsets(records: DataFrame) -> dict[int, int]:

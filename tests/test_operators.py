@@ -55,8 +55,8 @@ def test_clean_cities_golden(spark):
 
 
 def test_pivot_golden(spark):
-    wide = aggregates.pivot_sum(clean_cities(spark), "country", "continent", ["Africa", "Europe", "Undefined"],
-                                F.col("population"))
+    # The published result of the pivot.
+    wide = aggregates.pivot_sum(clean_cities(spark), "country", "continent", F.col("population"))
     assert wide.columns == ["country", "Africa", "Europe", "Undefined"]
     assert tuples(wide) == [
         ("Egypt", 11922948, None, None), ("France", None, 2196936, None), ("Germany", None, 3490105, None),
@@ -139,6 +139,9 @@ def test_long_lists_are_cut_into_rows_and_stay_whole(spark):
     whole = aggregates.collect_list_chunked(df, ["k"], "id", ["id"], chunk_rows=5_000)
     assert sorted((r.k, r.chunk, r.n, r["items"][-1]) for r in whole.collect()) == [
         ("cold", 0, 100, 2_499), ("hot", 0, 2_400, 2_399)]
+    skipped = spark.createDataFrame([("a", 1, None), ("a", 2, "b"), ("a", 3, "c"), ("z", 4, None)], "k string, o int, v string")
+    got = aggregates.collect_list_chunked(skipped, ["k"], "v", ["o"], 2).collect()
+    assert sorted((r.k, r.chunk, r.n, r["items"]) for r in got) == [("a", 0, 2, ["b", "c"]), ("z", 0, 0, [])]
     nulls = spark.range(10).selectExpr("cast(null as string) as k", "id")
     assert sorted(r.n for r in aggregates.collect_list_chunked(nulls, ["k"], "id", ["id"], 4).collect()) == [2, 4, 4]
 
@@ -203,18 +206,36 @@ def test_null_safe_join(spark):
     assert left.join(right, "k").count() == 0
 
 
-def test_broadcast_only_when_proven_small(spark):
-    assert joins.fits_broadcast(spark.range(100), max_rows=100)
-    assert not joins.fits_broadcast(spark.range(101), max_rows=100)
-    assert not joins.fits_broadcast(spark.range(10), max_bytes=50)
-    assert joins.fits_broadcast(spark.createDataFrame([], "a int"))
+def test_broadcast_by_the_planned_size(spark):
+    hinted = ["hint" in joins.broadcast_if_small(spark.range(n), 1000)._jdf.queryExecution().logical().toString().lower()
+              for n in (100, 101, 126, 200_000)]
+    assert hinted == [True, True, False, False]
 
 
-def test_cartesian_needs_a_bounded_side(spark, monkeypatch):
-    assert joins.cartesian(spark.range(3), spark.range(2)).count() == 6
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    with pytest.raises(ValueError):
-        joins.cartesian(spark.range(3), spark.range(2))
+def test_bounded_sides_keep_what_is_declared(spark):
+    many = spark.range(300_000)
+    assert joins.cartesian(many, spark.range(2), most_right_rows=2).count() == 600_000
+    assert joins.theta_join(many, spark.range(3).toDF("k"), F.col("id") < F.col("k"), 3).count() == 3
+    for call in (lambda: joins.cartesian(many, spark.range(3), 2),
+                 lambda: joins.theta_join(many, spark.range(3).toDF("k"), F.col("id") < F.col("k"), 2)):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_hot_keys_follow_rows_and_partitions(spark):
+    df = spark.range(1000).selectExpr("if(id < 700, 0, id) as k", "id")
+    assert [(r.k, r["__salts"]) for r in joins.hot_keys(df, ["k"]).collect()] == [(0, 3)]
+    even = spark.range(1000).selectExpr("id % 100 as k", "id")
+    assert joins.hot_keys(even, ["k"]).count() == 0
+    assert joins.hot_keys(df.limit(0), ["k"]).count() == 0
+
+
+def test_slices_follow_the_data(spark):
+    df = spark.range(900).selectExpr("cast(id * id as bigint) as v")
+    bounds = joins.slice_bounds(df, "v", 3)
+    sizes = [df.filter((F.col("v") >= a) & (F.col("v") < b)).count() for a, b in zip([0, *bounds], [*bounds, 10**9])]
+    assert sum(sizes) == 900 and max(sizes) < 320
+    assert joins.slice_bounds(df.limit(0), "v", 3) == []
 
 
 def test_lookup_of_missing_key(spark):
@@ -319,7 +340,7 @@ def test_udf_total_and_null_rules(spark):
     assert [tuple(r) for r in got] == [(2, 2), (None, None), (0, 0), (None, None)]
     null = F.lit(None).cast("string")
     assert spark.range(1).select(udfs.describe_pair(null, F.lit(1))).first()[0] == "None:1"
-    assert spark.range(1).select(udfs.null_guarded(udfs.describe_pair, null, F.lit(1))).first()[0] is None
+    assert spark.range(1).select(udfs.describe_guarded(null, F.lit(1))).first()[0] is None
 
 
 def test_host_name_udf(spark):
@@ -417,3 +438,80 @@ class _Session:
 
     def getCheckpointDir(self):
         return "set"
+
+
+def test_pivot_loses_no_value(spark):
+    df = spark.createDataFrame([(1, "a", 2), (1, "new", 3), (2, None, 4)], "k int, c string, v int")
+    wide = aggregates.pivot_sum(df, "k", "c", F.col("v"))
+    assert sorted(tuple(r) for r in wide.select("k", "a", "new", "null").collect()) == [(1, 2, 3, None), (2, None, None, 4)]
+    with pytest.raises(ValueError):
+        aggregates.pivot_sum(df, "k", "c", F.col("v"), most_values=2)
+    with pytest.raises(Exception, match="unlisted"):
+        aggregates.pivot_sum(df, "k", "c", F.col("v"), values=["a", None]).collect()
+
+
+def test_udfs_beside_nulls_and_at_the_edge(spark):
+    big = spark.createDataFrame([(2**53 + 1,), (None,), (3_000_000,)], "x bigint").coalesce(1)
+    assert [r[0] for r in big.select(udfs.plus_one("x")).collect()] == [2**53 + 2, None, 3_000_001]
+    some = big.filter("x is null or x < 4000000").coalesce(1)
+    with pytest.raises(Exception, match="overflow"):
+        some.select(udfs.powers("x")).collect()
+    small = spark.createDataFrame([(2_000_000,), (None,), (-3,)], "x bigint").coalesce(1)
+    assert [tuple(r[0]) for r in small.select(udfs.powers("x")).collect()] == [
+        (2_000_000, 4 * 10**12, 8 * 10**18), (None, None, None), (-3, 9, -27)]
+    assert [r[0] for r in spark.createDataFrame([(0,), (1,), (-2,), (None,), (5,)], "x bigint").coalesce(1)
+            .select(udfs.divide_two_by("x")).collect()] == [None, 2, -1, None, 0]
+
+
+def test_guarded_udf_is_not_called_on_nulls(spark):
+    def strict(x):
+        assert x.null_count == 0
+        return x.cast("string")
+
+    guarded = udfs.null_guarded(strict, T.StringType())
+    df = spark.createDataFrame([(1,), (None,), (3,)], "x bigint").coalesce(1)
+    assert [r[0] for r in df.select(guarded("x")).collect()] == ["1", None, "3"]
+    assert [r[0] for r in df.filter("x is null").select(guarded("x")).collect()] == [None]
+
+
+def test_json_schema_of_nothing_and_odd_names(spark):
+    for rows in ([], [(None,)]):
+        df = spark.createDataFrame(rows, "j string")
+        ddl = schemas.infer_json_schema(df, "j")
+        assert ddl == "STRUCT<>" and df.select(F.from_json("j", ddl)).count() == len(rows)
+    df = spark.createDataFrame([('{"OBJECT<": 1, "n": null}',), ('{"b": [{"c": 2}]}',)], "j string")
+    ddl = schemas.infer_json_schema(df, "j")
+    rows = df.select(F.from_json("j", ddl).alias("v")).select("v.*")
+    assert rows.schema["n"].dataType == T.StringType() and [r["OBJECT<"] for r in rows.collect()] == [1, None]
+
+
+def test_scratch_notices_changed_inputs_and_lost_copies(spark, tmp_path):
+    source, writes = str(tmp_path / "in"), []
+
+    def write(path):
+        writes.append(path)
+        spark.read.parquet(f"{source}/t.parquet").write.parquet(path)
+
+    spark.range(3).write.parquet(f"{source}/t.parquet")
+    first = scratch.stage_once(spark, source, "copy", write)
+    assert scratch.stage_once(spark, source, "copy", write) == first
+    spark.range(5).write.mode("append").parquet(f"{source}/t.parquet")
+    second = scratch.stage_once(spark, source, "copy", write)
+    assert second != first and spark.read.parquet(second).count() == 8
+    files, at = scratch._file_system(spark, second)
+    files.delete(at, True)
+    third = scratch.stage_once(spark, source, "copy", write)
+    assert len(writes) == 3 and spark.read.parquet(third).count() == 8
+
+
+def test_queries_leave_the_callers_settings_alone(spark, sf_dir):
+    from sparkloom import registry
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        before = dict(spark.conf.getAll)
+        df = registry.queries()["agg_group_count"](spark, sf_dir)
+        assert dict(spark.conf.getAll) == before
+        assert df.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert df.sparkSession.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

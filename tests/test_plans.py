@@ -146,7 +146,7 @@ def test_struct_udf_runs_once(spark, sf_dir):
 
 def test_letter_count_combines_before_the_shuffle(spark, sf_dir):
     text = plan_text(aggregates.letter_counts(table(spark, sf_dir, "documents"), "text"))
-    assert exchange_count(aggregates.letter_counts(table(spark, sf_dir, "documents"), "text")) == 1
+    assert exchange_count(aggregates.letter_counts(table(spark, sf_dir, "documents"), "text")) == 2
     assert "partial_count" in text
 
 
