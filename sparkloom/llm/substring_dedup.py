@@ -247,7 +247,9 @@ def repeated_runs(docs: DataFrame, params: RepeatParams, kind: str) -> DataFrame
     """(id, h, first, last): ranges of starts of repeated strings of `docs` (id, h, text)."""
     spark = docs.sparkSession
     picks = freeze(spark, picks_of(docs, params, kind), "picks")
-    several = picks.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    # Written before it is joined: then both sides of the join are plain shuffles, whose hot keys Spark splits.
+    several = freeze(spark, picks.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                     .select("bucket"), "buckets")
     # All that counts of a stretch: its bytes, and where in it the picked bytes are.
     same = ["bucket", "stretch", "before", "width"]
     kept = freeze(spark, picks.withColumn("width", (F.col("last") - F.col("first")).cast("int"))
