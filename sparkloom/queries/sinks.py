@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.functions.timestamps import as_ntz
 from sparkloom.registry import query, table
 from sparkloom.scratch import new_dir
 from sparkloom.sources import connectors, inserts, writers
