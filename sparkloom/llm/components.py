@@ -14,8 +14,12 @@ from sparkloom.scratch import freeze
 
 
 def _point_at_minimum(directed: DataFrame) -> DataFrame:
-    """For each (u, v): (u, v, least neighbour or self of u)."""
-    least = directed.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    """For each (u, v): (u, v, least neighbour or self of u).
+
+    The minima are written first, so that the join can split the edges of a node with very many.
+    """
+    least = freeze(directed.sparkSession,
+                   directed.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
     return directed.join(least, "u")
 
 

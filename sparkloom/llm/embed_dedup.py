@@ -254,9 +254,10 @@ def near_vectors(vectors: DataFrame, params: PolytopeParams = PolytopeParams(),
     per_table = 1 + params.probes
     rows = ones.select("id", F.posexplode("keys").alias("pos", "key")).select(
         "id", "key", (F.col("pos") % per_table == 0).alias("lives"))
-    least = (rows.groupBy("key").agg(F.min(F.when(F.col("lives"), F.col("id"))).alias("least"),
-                                     F.min("id").alias("low"), F.max("id").alias("high"))
-             .filter("least is not null and low < high").select("key", "least"))
+    # Written before it is joined, so that the join can split hot buckets.
+    least = freeze(spark, rows.groupBy("key").agg(
+        F.min(F.when(F.col("lives"), F.col("id"))).alias("least"), F.min("id").alias("low"), F.max("id").alias("high"))
+        .filter("least is not null and low < high").select("key", "least"), "least")
     ties = freeze(spark, rows.join(least, "key").filter("id <> least").select("least", "id").distinct(), "ties")
     members = connected_components(ties, "least", "id")
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))

@@ -142,8 +142,9 @@ def candidate_ties(classes: DataFrame, m: int) -> DataFrame:
     """Distinct (least, id) over all buckets of all m * m tables with more than one member."""
     keys = F.array(*[F.xxhash64(F.lit(i * m + j), f"a{i}", f"b{j}") for i in range(m) for j in range(m)])
     rows = classes.select("id", F.explode(keys).alias("key"))
-    least = (rows.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("size"))
-             .filter("size > 1").select("key", "least"))
+    # Written before it is joined, so that the join can split hot buckets.
+    least = freeze(classes.sparkSession, rows.groupBy("key").agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "least"), "least")
     return rows.join(least, "key").filter("id <> least").select("least", "id").distinct()
 
 
