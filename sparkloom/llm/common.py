@@ -17,17 +17,24 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 Fill = Callable[[pa.RecordBatch], Iterable]
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, few at a time: Python objects are made for these only."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Fill]) -> DataFrame:
     """Apply `make()` once per task and its result to every Arrow batch; it gives the output's columns.
 
     The columns come back in the schema's order, as Arrow or numpy arrays or as lists. Nothing is kept
-    between batches but what `make` built, so memory is bounded by one batch.
+    between batches but what `make` built, and a batch is worked on in parts, so memory is bounded.
     """
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fill = make()
-        for batch in batches:
+        for batch in in_parts(batches):
             columns = fill(batch)
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)

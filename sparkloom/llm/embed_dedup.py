@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import map_batches
+from sparkloom.llm.common import in_parts, map_batches
 from sparkloom.llm.components import connected_components
 from sparkloom.scratch import freeze
 
@@ -193,7 +193,7 @@ def _compare(least: float, kind: pa.DataType):
                 yield pa.RecordBatch.from_arrays([pa.array(x, kind), pa.array(y, kind), pa.array(n, pa.int64())],
                                                  names=["x", "y", "n"])
 
-        for batch in batches:
+        for batch in in_parts(batches):
             columns = [batch.column(c).to_pylist() for c in ("cluster", "pair", "own", "id", "copies", "vec")]
             for cluster, pair, own, node, copies, vec in zip(*columns):
                 if (cluster, pair) != key:

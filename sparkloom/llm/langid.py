@@ -161,12 +161,12 @@ def train_langid(docs: DataFrame, learn_from: Column | None = None, params: Lang
     def make():
         def fill(batch):
             found = [subwords(text, params) for text in texts_of(batch)]
-            found = [x[::max(1, -(-len(x) // params.subwords_per_sample))] for x in found]
+            found = [x[::max(1, -(-len(x) // params.subwords_per_sample))].astype(np.int32) for x in found]
             return batch.column("__id"), batch.column("__lang"), found
         return fill
 
-    got = map_batches(sample, "id bigint, lang string, found array<bigint>", make).toArrow()
-    got = sorted(((i, l, np.asarray(x.values, np.int64)) for i, l, x in
+    got = map_batches(sample, "id bigint, lang string, found array<int>", make).toArrow()
+    got = sorted(((i, l, np.asarray(x.values, np.int32)) for i, l, x in
                   zip(got["id"].to_pylist(), got["lang"].to_pylist(), got["found"])), key=lambda r: (r[0], r[1]))
     got = [r for r in got if len(r[2])]
     if not got:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import broadcast_counted, map_batches, texts_of
+from sparkloom.llm.common import broadcast_counted, in_parts, map_batches, texts_of
 from sparkloom.llm.components import connected_components
 from sparkloom.scratch import freeze
 
@@ -200,7 +200,7 @@ def _forests(percent: int, kind: pa.DataType):
                 yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in edges], kind),
                                                   pa.array([ids[j] for _, j in edges], kind)], names=["x", "y"])
 
-        for batch in batches:
+        for batch in in_parts(batches):
             for cluster, pair, node, found in zip(batch.column("cluster").to_pylist(),
                                                   batch.column("pair").to_pylist(), batch.column("id").to_pylist(),
                                                   batch.column("shingles").to_pylist()):

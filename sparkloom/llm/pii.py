@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import map_batches, texts_of
+from sparkloom.llm.common import in_parts, map_batches, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_ATOMS = 12
@@ -416,7 +416,7 @@ def mask_pii(docs: DataFrame, weights: Weights, text_column: str = "text") -> Da
 
     def run(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = [t if t is None else mask(t, all_spans(t, sent.value)[1])
                      for t in batch.column(text_column).to_pylist()]
             kind = batch.schema.field(text_column).type

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import WordCache, fit_platt, labelled_sample, map_batches, sigmoid, texts_of
+from sparkloom.llm.common import WordCache, fit_platt, in_parts, labelled_sample, map_batches, sigmoid, texts_of
 
 BITS = 20
 SIZE = 1 << BITS
@@ -157,12 +157,13 @@ def train_quality(docs: DataFrame, labels: DataFrame, learn_from: Column | None
         features = Features()
 
         def fill(batch):
-            return (batch.column("__id"), batch.column("label"), [features(t) for t in texts_of(batch)])
+            return (batch.column("__id"), batch.column("label"),
+                    [features(t).astype(np.int32) for t in texts_of(batch)])
         return fill
 
-    got = map_batches(sample, "id bigint, label int, features array<bigint>", make).toArrow()
+    got = map_batches(sample, "id bigint, label int, features array<int>", make).toArrow()
     got = sorted(zip(got["id"].to_pylist(), got["label"].to_pylist(),
-                     (np.asarray(x.values if x is not None else [], np.int64) for x in got["features"])),
+                     (np.asarray(x.values if x is not None else [], np.int32) for x in got["features"])),
                  key=lambda row: (row[0], row[1], len(row[2])))
     if not got:
         return QualityModel(np.zeros(SIZE, np.float32), 0.0, (0.0, 0.0)), np.zeros(SIZE, np.float32)
@@ -185,7 +186,7 @@ def score_quality(docs: DataFrame, model: tuple[QualityModel, np.ndarray], text_
         fitted, norm = sent.value
         a, b = fitted.scale
         import pyarrow as pa
-        for batch in batches:
+        for batch in in_parts(batches):
             margins = np.array([fitted.margin(features(t), norm) for t in texts_of(batch, text_column)])
             columns = [batch.column(n) for n in names] + [pa.array(sigmoid(a * margins + b), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, score])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import map_batches
+from sparkloom.llm.common import in_parts, map_batches
 from sparkloom.scratch import freeze
 
 _BASE = 0xD1342543DE82EF95
@@ -199,7 +199,7 @@ def _sort_blocks(params: RepeatParams, id_type: pa.DataType):
 
     def run(batches):
         block, size = [], 0
-        for batch in batches:
+        for batch in in_parts(batches):
             columns = [batch.column(c).to_pylist() for c in ("bucket", "id", "h", "first", "last", "alone", "stretch")]
             for row in zip(*columns):
                 if size >= params.block_bytes and row[0] != block[-1][0]:
