@@ -25,6 +25,8 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One store per partition for both sides of a join.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
 
