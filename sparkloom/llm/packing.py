@@ -30,6 +30,11 @@ from sparkloom.scratch import freeze
 #: Characters beyond Latin letters and general punctuation, on whose classes the two libraries may differ.
 OTHER_SCRIPTS = re.compile("[^\x00-\u024f\u2000-\u206f]")
 
+#: tiktoken's pattern engine panics on about a million white-space characters in a row; this is far below. The
+#: look-behind lets a match begin only where a run does, so that the search is linear.
+LONG_SPACE = 100_000
+LONG_SPACES = re.compile(r"(?<!\s)\s{%d}" % LONG_SPACE)
+
 #: The pre-tokenizer pattern of byte-level BPE files that ask for one.
 BYTE_LEVEL_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -46,8 +51,8 @@ class Encoder:
 
     Where a byte-level BPE file ranks its merges by id, as its ranks say the same thing, tiktoken encodes
     the texts from the ranks of that very file, about three times as fast. Texts that hold a special
-    token's string or characters of other scripts, and all texts of other kinds of files, go to the
-    tokenizers library.
+    token's string, characters of other scripts or a very long run of white space, and all texts of other
+    kinds of files, go to the tokenizers library.
     """
 
     def __init__(self, path: str):
@@ -79,7 +84,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         fast = [self._fast is not None and not any(s in t for s in self._special)
-                and (t.isascii() or not OTHER_SCRIPTS.search(t)) for t in texts]
+                and (t.isascii() or not OTHER_SCRIPTS.search(t))
+                and (len(t) < LONG_SPACE or not LONG_SPACES.search(t)) for t in texts]
         slow = iter(self._tokenizer.encode_batch([t for t, f in zip(texts, fast) if not f], add_special_tokens=False))
         return [np.array(self._fast.encode_ordinary(t) if f else next(slow).ids, "<u4").tobytes()
                 for t, f in zip(texts, fast)]

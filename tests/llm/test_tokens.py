@@ -41,6 +41,16 @@ def test_ids_equal_the_library():
     assert packing.Encoder(path).encode(texts) == want
 
 
+def test_ids_of_very_long_runs_equal_the_library():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    long = packing.LONG_SPACE
+    texts = ["\n" * 2_000_000, "a" + " \n" * 1_000_000 + "b", "x" + "\u00a0" * 1_200_000, " " * (long - 1) + "x",
+             "x" + " " * long, "a" * 300_000, "ab \n" * 50_000]
+    library = Tokenizer.from_file(path)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert packing.Encoder(path).encode(texts) == want
+
+
 def _check_plan(histogram, capacity):
     rows = packing.plan(histogram, capacity)
     used, fill = Counter(), {}
