@@ -1,15 +1,17 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
 
 Texts and benchmark items are cut into words (runs of letters and digits, lower case). Fixed masks lay over
-every `SPAN` consecutive words and ignore some positions, so a hash survives a substituted word there. Hashes
-of items and texts are joined; each hit names a text, an item and a diagonal (the item's first word's place
+every place and ignore some positions, so a hash survives a substituted word there. Hashes of items and texts
+are joined; each hit names a text, an item and a diagonal (the item's first word's place
 in the text). Along the diagonal the words are compared one by one, and the pair counts as an overlap
 when some window of `window` words of the item (the whole item if shorter) agrees in at least `percent`
-percent of its places. Insertions move the diagonal, and each side is judged on its own.
+percent of its places. Insertions move the diagonal, and each side is judged on its own. With the default
+window and percentage no overlap is missed: wherever the words that differ are, some mask fits between them
+(a test tries all placements).
 
-Defined results: null and empty texts and items, and items with fewer words than a mask spans, match nothing:
-so few words cannot tell a leak from chance. Rows without an id cannot be reported. Items with the same words
-are compared once and reported each; repeated rows give one row. No rows give no rows.
+Defined results: null and empty texts and items, and items with fewer than `SPAN` words, match nothing: so few
+words cannot tell a leak from chance. Rows without an id cannot be reported. Items with the same words are
+compared once and reported each; repeated rows give one row. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -20,8 +22,9 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import broadcast_counted
 from sparkloom.scratch import freeze
 
-#: Places of a window that a mask looks at; the others may hold any word.
-MASKS = ((0, 1, 3, 5, 6, 7), (0, 2, 3, 4, 6, 7))
+#: Places that a mask looks at; those between may hold any word. A mask lies wherever its own last place is a word.
+MASKS = ((0, 1, 2, 4, 5), (0, 1, 4, 6, 7), (0, 1, 2, 3, 4))
+#: Least words of an item.
 SPAN = 8
 
 
@@ -31,15 +34,17 @@ def words(text: Column) -> Column:
 
 
 def seeds(df: DataFrame, tokens: str, *keep: str) -> DataFrame:
-    """`keep`, the place and the hash of every mask at every place of the token array."""
-    places = df.filter(F.size(tokens) >= SPAN).select(
-        *keep, tokens, F.explode(F.sequence(F.lit(0), F.size(tokens) - SPAN)).alias("place"))
+    """`keep`, the place and the hash of every mask at every place of the token array where it fits."""
+    shortest = min(mask[-1] for mask in MASKS) + 1
+    places = df.filter(F.size(tokens) >= shortest).select(
+        *keep, tokens, F.explode(F.sequence(F.lit(0), F.size(tokens) - shortest)).alias("place"))
 
     def at(offset: int) -> Column:
         return F.get(F.col(tokens), F.col("place") + offset)
 
-    hashes = F.array(*[F.xxhash64(F.lit(k), *[at(o) for o in mask]) for k, mask in enumerate(MASKS)])
-    return places.select(*keep, "place", F.explode(hashes).alias("seed"))
+    hashes = F.array(*[F.when(F.col("place") + mask[-1] < F.size(tokens), F.xxhash64(F.lit(k), *[at(o) for o in mask]))
+                       for k, mask in enumerate(MASKS)])
+    return places.select(*keep, "place", F.explode(hashes).alias("seed")).filter("seed is not null")
 
 
 def overlaps(docs: DataFrame, items: DataFrame, window: int = 20, percent: int = 80, doc_id: str = "doc_id",
@@ -52,7 +57,8 @@ def overlaps(docs: DataFrame, items: DataFrame, window: int = 20, percent: int =
     asked = asked.withColumn("__words", F.filter("__words", lambda w: w != "")).distinct()
     least = asked.groupBy("__words").agg(F.min("__item").alias("__same"))
     same = freeze(spark, asked.join(least, "__words").select("__item", "__same", "__words"), "items")
-    distinct = same.filter("__item = __same").select("__same", "__words").distinct()
+    distinct = same.filter((F.col("__item") == F.col("__same")) & (F.size("__words") >= SPAN)).select(
+        "__same", "__words").distinct()
     asked_seeds = freeze(spark, seeds(distinct, "__words", "__same").withColumnRenamed("place", "__asked"), "item-seeds")
     text = docs.select(F.col(doc_id).alias("__doc"), words(F.col(text_column)).alias("__tokens")).filter(
         "__doc is not null")

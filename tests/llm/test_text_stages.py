@@ -1,5 +1,6 @@
 """Personal data, decontamination and the pipeline."""
 
+import itertools
 import random
 import re
 
@@ -117,6 +118,27 @@ def test_overlaps_equal_brute_force(spark, frame):
     assert clean == set(docs) - {d for d, _ in got}
 
 
+def test_masks_fit_between_all_placements_of_differing_words():
+    for n in range(decontam.SPAN, 21):
+        seeds = [sum(1 << (at + o) for o in mask) for mask in decontam.MASKS for at in range(n - mask[-1])]
+        for gone in itertools.combinations(range(n), n // 5):
+            assert not all(s & sum(1 << g for g in gone) for s in seeds), (n, gone)
+
+
+def test_overlaps_with_as_many_words_changed_as_allowed(spark, frame):
+    items = {n: " ".join(f"i{n}w{k}" for k in range(n)) for n in (8, 9, 10, 15, 16, 20, 23)}
+    docs, draw = {}, random.Random(4)
+    for n, item in items.items():
+        for gone in draw.sample(list(itertools.combinations(range(min(n, 20)), min(n, 20) // 5)), 8 if n < 10 else 45):
+            leak = [f"z{k}" if k in gone else w for k, w in enumerate(item.split())]
+            docs[len(docs)] = " ".join(leak + ["tail"] * (len(docs) % 3))
+    docs[len(docs)] = items[8].split(" ", 1)[1]
+    docs[len(docs)] = " ".join(items[10].split()[:7])
+    table = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.overlaps(frame(docs.items()), table).collect()}
+    assert got == {(d, i) for d, t in docs.items() for i, item in items.items() if _overlap(t, item)}
+
+
 def test_overlaps_awkward_rows(spark, awkward, no_docs):
     table = spark.createDataFrame([(1, "The same words. The same words. The same words."), (2, None), (None, "a b"), (3, "a")],
                                   "item_id bigint, text string")
