@@ -1,7 +1,9 @@
 """Near-duplicate texts by MinHash with tensored banding, candidates verified on whole shingle sets.
 
 1. One pass gives each text its set size, a 128-bit digest of its set of shingles, and two small collections
-   of hashes, each hash made of `half` minhashes. Texts with equal digests form a class with one representative.
+   of hashes, each hash made of `half` minhashes. Texts with equal digests form a class, which has a number and
+   one representative, the text of that digest whose id is least. All further steps know classes by number, so an
+   id that is repeated with another text brings nothing of it along.
 2. A table's key combines one hash of the first collection with one of the second, so `m` + `m` hashes make
    m * m tables: the minhash work is about the square root of what independent tables need. `m` follows from
    the similarity so that a pair at the threshold is missed with probability under 1 in 10,000.
@@ -13,7 +15,8 @@
 Words are runs of anything but ASCII white space, A-Z lower-cased. Defined results: texts with fewer words
 than a shingle have their whole sequence as one shingle; null texts and texts without words have an empty set
 and link with nothing; a row without an id is kept and alone; rows that repeat an id each get the component of
-their own text.
+their own text, named by its least id. Where the texts of a component share the least id, those of one digest are
+kept.
 """
 
 from __future__ import annotations
@@ -108,6 +111,13 @@ def minhashes(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return np.array([_mix(shingles * s).min() for s in seeds], np.uint64)
 
 
+def digest(shingles: np.ndarray) -> np.ndarray:
+    """Two 64-bit halves of a digest of a set; zeros for the empty set."""
+    if not len(shingles):
+        return np.zeros(2, np.int64)
+    return np.frombuffer(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), np.int64)
+
+
 def signatures(docs: DataFrame, params: MinHashParams, id_column: str, text_column: str) -> DataFrame:
     """(id, n, d1, d2, a0.., b0..): set size, digest of the set, and the two collections of hashes."""
     kind, m = docs.schema[id_column].dataType.simpleString(), params.collection
@@ -123,8 +133,8 @@ def signatures(docs: DataFrame, params: MinHashParams, id_column: str, text_colu
             for k, text in enumerate(texts):
                 found = shingler(text)
                 sizes[k] = len(found)
+                digests[k] = digest(found)
                 if len(found):
-                    digests[k] = np.frombuffer(hashlib.blake2b(found.tobytes(), digest_size=16).digest(), np.int64)
                     parts = minhashes(found, seeds).reshape(2 * m, params.half)
                     joined = parts[:, 0]
                     for h in range(1, params.half):
@@ -139,13 +149,13 @@ def signatures(docs: DataFrame, params: MinHashParams, id_column: str, text_colu
 
 
 def candidate_ties(classes: DataFrame, m: int) -> DataFrame:
-    """Distinct (least, id) over all buckets of all m * m tables with more than one member."""
+    """Distinct (least, node) over all buckets of all m * m tables with more than one member."""
     keys = F.array(*[F.xxhash64(F.lit(i * m + j), f"a{i}", f"b{j}") for i in range(m) for j in range(m)])
-    rows = classes.select("id", F.explode(keys).alias("key"))
+    rows = classes.select("node", F.explode(keys).alias("key"))
     # Written before it is joined, so that the join can split hot buckets.
     least = freeze(classes.sparkSession, rows.groupBy("key").agg(
-        F.min("id").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "least"), "least")
-    return rows.join(least, "key").filter("id <> least").select("least", "id").distinct()
+        F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "least"), "least")
+    return rows.join(least, "key").filter("node <> least").select("least", "node").distinct()
 
 
 def block_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -189,95 +199,132 @@ def block_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return edges
 
 
-def _forests(percent: int, kind: pa.DataType):
+def _forests(percent: int):
     """Streams rows sorted by (cluster, pair); holds the sets of one pair of blocks at a time."""
     def run(batches):
-        key, ids, sets = None, [], []
+        key, nodes, sets = None, [], []
 
         def close():
             edges = block_forest(sets, percent)
             if edges:
-                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i, _ in edges], kind),
-                                                  pa.array([ids[j] for _, j in edges], kind)], names=["x", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in edges], pa.int64()),
+                                                  pa.array([nodes[j] for _, j in edges], pa.int64())], names=["x", "y"])
 
         for batch in in_parts(batches):
             for cluster, pair, node, found in zip(batch.column("cluster").to_pylist(),
-                                                  batch.column("pair").to_pylist(), batch.column("id").to_pylist(),
+                                                  batch.column("pair").to_pylist(), batch.column("node").to_pylist(),
                                                   batch.column("shingles").to_pylist()):
                 if (cluster, pair) != key:
                     yield from close()
-                    key, ids, sets = (cluster, pair), [], []
-                ids.append(node)
+                    key, nodes, sets = (cluster, pair), [], []
+                nodes.append(node)
                 sets.append(np.frombuffer(found, np.uint64))
         yield from close()
     return run
 
 
-def verified_links(docs: DataFrame, members: DataFrame, params: MinHashParams, id_column: str,
+def verified_links(docs: DataFrame, classes: DataFrame, members: DataFrame, params: MinHashParams, id_column: str,
                    text_column: str) -> DataFrame:
     """(x, y): links, enough to connect all that are linked, inside the clusters of `members` (node, component)."""
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    placed = members.join(sizes, "component").select(
-        F.col("node").alias("id"), F.col("component").alias("cluster"),
+    placed = members.join(sizes, "component").join(classes.select("node", "id", "d1", "d2"), "node").select(
+        "id", "node", "d1", "d2", F.col("component").alias("cluster"),
         F.ceil(F.col("size") / params.block).cast("int").alias("blocks"))
     placed = broadcast_counted(freeze(docs.sparkSession, placed, "clusters"), params.broadcast_rows)
-    kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(placed, "id")
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(placed, "id").drop("id")
 
     def make():
         shingler = Shingler(params.words)
 
         def fill(batch):
-            found = [shingler(t) for t in texts_of(batch)]
-            return (batch.column("id"), batch.column("cluster"), batch.column("blocks"), [len(f) for f in found],
+            # Another text under the representative's id is not of its class.
+            asked = zip(batch.column("d1").to_pylist(), batch.column("d2").to_pylist())
+            found = [f if tuple(digest(f).tolist()) == d else f[:0]
+                     for f, d in zip(map(shingler, texts_of(batch)), asked)]
+            return (batch.column("node"), batch.column("cluster"), batch.column("blocks"), [len(f) for f in found],
                     [f.tobytes() for f in found])
         return fill
 
-    sets = map_batches(rows, f"id {kind}, cluster {kind}, blocks int, n bigint, shingles binary", make).filter("n > 0")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    sets = map_batches(rows, "node bigint, cluster bigint, blocks int, n bigint, shingles binary", make).filter("n > 0")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = (sets.withColumn("own", block).withColumn("other", other)
               .filter("own <> other or blocks = 1")
               .withColumn("pair", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
-              .select("cluster", "pair", "id", "shingles"))
+              .select("cluster", "pair", "node", "shingles"))
     together = paired.repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
-    arrow_kind = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    return together.mapInArrow(_forests(params.percent, arrow_kind), f"x {kind}, y {kind}")
+    return together.mapInArrow(_forests(params.percent), "x bigint, y bigint")
 
 
-def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams(), id_column: str = "doc_id",
-                    text_column: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row. Other columns are not read; no rows give none."""
+def _judged(docs: DataFrame, params: MinHashParams, id_column: str, text_column: str) -> DataFrame:
+    """(id, n, d1, d2, found, kept) of every row: `found` is the least id of its component."""
     spark = docs.sparkSession
     marked = freeze(spark, signatures(docs, params, id_column, text_column), "signatures")
     m = params.collection
     with_set = marked.filter("n > 0 and id is not null")
+    # Written with its numbers, which hold from there on.
     classes = freeze(spark, with_set.groupBy("d1", "d2").agg(
-        F.min("id").alias("id"), *[F.first(f"{c}{i}").alias(f"{c}{i}") for c in "ab" for i in range(m)]), "classes")
+        F.min("id").alias("id"), *[F.first(f"{c}{i}").alias(f"{c}{i}") for c in "ab" for i in range(m)])
+        .withColumn("node", F.monotonically_increasing_id()), "classes")
     ties = freeze(spark, candidate_ties(classes, m), "ties")
-    clusters = connected_components(ties, "least", "id")
-    links = freeze(spark, verified_links(docs, clusters, params, id_column, text_column), "links")
-    component = connected_components(links, "x", "y")
-    of_class = classes.select("d1", "d2", F.col("id").alias("node")).join(component, "node", "left")
-    of_class = of_class.select("d1", "d2", F.coalesce("component", "node").alias("found"))
+    clusters = connected_components(ties, "least", "node")
+    links = freeze(spark, verified_links(docs, classes, clusters, params, id_column, text_column), "links")
+    linked = classes.select("node", "id", "d1", "d2").join(connected_components(links, "x", "y"), "node")
+    linked = freeze(spark, linked.select("component", "node", "id", "d1", "d2"), "linked")
+    first = freeze(spark, linked.groupBy("component").agg(F.min(F.struct("id", "d1", "d2")).alias("first")), "firsts")
+    linked = linked.join(broadcast_counted(first, params.broadcast_rows), "component").select(
+        "node", F.col("first.id").alias("found"),
+        ((F.col("d1") == F.col("first.d1")) & (F.col("d2") == F.col("first.d2"))).alias("leads"))
+    # Joined by number, so the next join's sides are plain shuffles whose hot digests can be split.
+    of_class = classes.select("node", "d1", "d2", F.col("id").alias("own")).join(linked, "node", "left").select(
+        "d1", "d2", F.coalesce("found", "own").alias("found"), F.coalesce("leads", F.lit(True)).alias("leads"))
     out = marked.join(of_class, ["d1", "d2"], "left")
-    found = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("found")).otherwise(F.col("id"))
-    return (out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), found.alias("component_id"))
-            .withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id"))))
+    has_class = (F.col("n") > 0) & F.col("id").isNotNull()
+    return out.select("id", "n", "d1", "d2", F.when(has_class, F.col("found")).otherwise(F.col("id")).alias("found"),
+                      F.when(has_class, F.col("leads") & (F.col("id") == F.col("found"))).otherwise(True).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams(), id_column: str = "doc_id",
+                    text_column: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row. Other columns are not read; no rows give none."""
+    return _judged(docs, params, id_column, text_column).select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.col("found").alias("component_id"), "kept")
 
 
 def drop_near_duplicates(docs: DataFrame, params: MinHashParams = MinHashParams(), id_column: str = "doc_id",
                          text_column: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is the least of its group, all columns. Of rows that repeat an id one stays;
-    rows without an id stay."""
+    """The rows of `docs` that are kept of their group, all columns. Of rows that repeat an id and its set of
+    shingles one stays, rows that repeat an id with another set are judged each; rows without an id stay."""
     spark, name = docs.sparkSession, "__gone"
-    found = freeze(spark, near_duplicates(docs, params, id_column, text_column)
-                   .groupBy(F.col(id_column).alias(name))
-                   .agg(F.bool_and("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
-                   .filter(F.col(name).isNotNull() & (~F.col("__kept") | (F.col("__rows") > 1))), "gone")
+    judged = freeze(spark, _judged(docs, params, id_column, text_column), "judged")
+    found = freeze(spark, judged.groupBy(F.col("id").alias(name))
+                   .agg(F.bool_and("kept").alias("__all"), F.bool_or("kept").alias("__kept"),
+                        F.count(F.lit(1)).alias("__rows"))
+                   .filter(F.col(name).isNotNull() & (~F.col("__all") | (F.col("__rows") > 1))), "gone")
     several = found.filter("__kept").select(name)
     found = broadcast_counted(found.select(name), params.broadcast_rows)
     plain = docs.join(found, F.col(id_column) == F.col(name), "left_anti")
-    once = docs.join(F.broadcast(several) if several.count() <= params.broadcast_rows else several,
-                     F.col(id_column) == F.col(name), "left_semi").dropDuplicates([id_column])
+    n_several = several.count()
+    if not n_several:
+        return plain
+    # Ids with several rows, some of them kept: their texts are read again, as only the digest tells them apart.
+    several = F.broadcast(several) if n_several <= params.broadcast_rows else several
+    repeated = docs.join(several, F.col(id_column) == F.col(name), "left_semi")
+    kind = docs.schema[id_column].dataType.simpleString()
+
+    def make():
+        shingler = Shingler(params.words)
+
+        def fill(batch):
+            digests = np.array([digest(shingler(t)) for t in texts_of(batch)], np.int64).reshape(-1, 2)
+            return batch.column("id"), batch.column("text"), digests[:, 0], digests[:, 1]
+        return fill
+
+    texts = map_batches(repeated.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).distinct(),
+                        f"id {kind}, text string, d1 bigint, d2 bigint", make)
+    stay = (texts.join(judged.filter("kept").select("id", "d1", "d2").distinct(), ["id", "d1", "d2"])
+            .groupBy("id", "d1", "d2").agg(F.min("text").alias("__text")).select(F.col("id").alias(name), "__text"))
+    stay = freeze(spark, stay, "stay")
+    once = repeated.join(stay, (F.col(id_column) == F.col(name)) & F.col(text_column).eqNullSafe(F.col("__text")),
+                         "left_semi").dropDuplicates([id_column, text_column])
     return plain.unionByName(once)

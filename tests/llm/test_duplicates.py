@@ -90,6 +90,28 @@ def test_near_duplicates_awkward_rows(awkward, no_docs):
     assert minhash.drop_near_duplicates(no_docs).collect() == []
 
 
+@pytest.mark.parametrize("rows", [1000, 0])
+def test_ids_repeated_with_other_texts(frame, rows):
+    base, alone = prose(1, 60), [prose(k, 60) for k in range(2, 9)]
+    near, nearer = base + " one", base + " one two"
+    docs = [(3, base), (7, near), (7, alone[0]), (8, alone[1]), (8, alone[2]), (8, alone[2]), (9, alone[3]),
+            (9, alone[3] + " x"), (10, None), (10, ""), (10, alone[4]), (11, nearer), (11, near), (12, alone[5]),
+            (12, alone[5].upper()), (13, alone[0] + " y"), (None, base), (None, base)]
+    params = minhash.MinHashParams(words=5, percent=80, broadcast_rows=rows)
+    got = minhash.near_duplicates(frame(docs), params).collect()
+    found = Counter((r.doc_id, r.component_id, r.kept) for r in got if r.doc_id != 9)
+    assert found == Counter([(3, 3, True), (7, 3, False), (7, 7, True), *[(8, 8, True)] * 3, *[(10, 10, True)] * 3,
+                             (11, 3, False), (11, 3, False), (12, 12, True), (12, 12, True), (13, 7, False),
+                             (None, None, True), (None, None, True)])
+    assert sorted((r.component_id, r.kept) for r in got if r.doc_id == 9) == [(9, False), (9, True)]
+    left = [(r.doc_id, r.text) for r in minhash.drop_near_duplicates(frame(docs), params).collect()]
+    nine = [t for i, t in left if i == 9]
+    assert len(nine) == 1 and nine[0] in (alone[3], alone[3] + " x")
+    assert Counter(d for d in left if d[0] != 9) == Counter(
+        [(3, base), (7, alone[0]), (8, alone[1]), (8, alone[2]), (10, ""), (10, alone[4]), (12, alone[5].upper()),
+         (None, base), (None, base)])
+
+
 def test_enough_tables_for_the_threshold():
     for percent in (80, 85, 90):
         p = minhash.MinHashParams(percent=percent)
