@@ -74,6 +74,16 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of `new_dir` that no frame reads any more, such as a table of an earlier round."""
+    files, at = _file_system(spark, path)
+    made = _made.get(spark.sparkContext.applicationId, [])
+    if path not in made:
+        raise ValueError(f"{path} was not made by this application")
+    made.remove(path)
+    return bool(files.delete(at, True))
+
+
 def clean_scratch(spark: SparkSession) -> int:
     """Delete what this application wrote below its shared folder; gives the number of folders deleted.
 
