@@ -24,7 +24,7 @@ def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa
             yield batch.slice(start, rows)
 
 
-def map_batches(df: DataFrame, schema: str, make: Callable[[], Fill]) -> DataFrame:
+def map_batches(df: DataFrame, schema: str, make: Callable[[], Fill], part_rows: int = 1000) -> DataFrame:
     """Apply `make()` once per task and its result to every Arrow batch; it gives the output's columns.
 
     The columns come back in the schema's order, as Arrow or numpy arrays or as lists. Nothing is kept
@@ -34,7 +34,7 @@ def map_batches(df: DataFrame, schema: str, make: Callable[[], Fill]) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fill = make()
-        for batch in in_parts(batches):
+        for batch in in_parts(batches, part_rows):
             columns = fill(batch)
             yield pa.RecordBatch.from_arrays(
                 [c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)

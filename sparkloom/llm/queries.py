@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontam, embed_dedup, langid, minhash, packing, pii, quality, substring_dedup, token_counts, toxicity
+from sparkloom.llm import (centroids, code_compression, decontam, embed_dedup, langid, minhash, mixing, packing, pii, quality,
+                           substring_dedup, token_counts, toxicity)
 from sparkloom.llm.common import fold
+from sparkloom.llm.oracles import ORACLES  # noqa: F401
+from sparkloom.operators.joins import join_aggregate
 from sparkloom.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):
@@ -92,3 +95,29 @@ def op9_decontamination(spark, sf_dir):
 @query
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op11_vector_codes(spark, sf_dir):
+    coded, books = code_compression.compress(table(spark, sf_dir, "embeddings"))
+    numbers = ",".join(str(x) for x in books.ravel())
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, F.lit("0")))), "")
+    rows = coded.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label")
+    summed = rows.groupBy("label").agg(F.sum("error").alias("label_error"))
+    return join_aggregate(rows, summed, ["label"]).select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"))
+
+
+@query
+def op12_centroids(spark, sf_dir):
+    found = centroids.with_inertia(centroids.cluster(table(spark, sf_dir, "embeddings")))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                        digest.alias("centroid_sha256"))
+
+
+@query
+def op13_mixing(spark, sf_dir):
+    plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
