@@ -40,6 +40,54 @@ def upper_names(df: DataFrame) -> DataFrame:
     return with_renamed_schema(df, str.upper)
 
 
+# Digits that the whole-number types may have; each type is contained in those after it.
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def keeps_values(source: T.DataType, target: T.DataType) -> bool:
+    """Whether every value of one plain type is also one of the other."""
+    a, b = source.simpleString(), target.simpleString()
+    if a == b or isinstance(source, T.NullType):
+        return True
+    if a in _DIGITS and b in _DIGITS:
+        return _DIGITS[a] <= _DIGITS[b]
+    if isinstance(target, T.DecimalType):
+        whole, scale = target.precision - target.scale, target.scale
+        if isinstance(source, T.DecimalType):
+            return source.precision - source.scale <= whole and source.scale <= scale
+        return a in _DIGITS and _DIGITS[a] <= whole
+    return (a, b) in {("float", "double"), ("tinyint", "float"), ("smallint", "float"), ("tinyint", "double"),
+                      ("smallint", "double"), ("int", "double"), ("date", "timestamp_ntz")}
+
+
+def _losses(source: T.DataType, target: T.DataType, at: str) -> list[str]:
+    """Places where a conversion by name could change values."""
+    if isinstance(source, T.StructType) and isinstance(target, T.StructType):
+        known = {f.name.lower(): f for f in source.fields}
+        return [loss for f in target.fields if f.name.lower() in known
+                for loss in _losses(known[f.name.lower()].dataType, f.dataType, f"{at}.{f.name}" if at else f.name)]
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        return _losses(source.elementType, target.elementType, f"{at}[]")
+    if isinstance(source, T.MapType) and isinstance(target, T.MapType):
+        return (_losses(source.keyType, target.keyType, f"{at} keys")
+                + _losses(source.valueType, target.valueType, f"{at} values"))
+    return [] if keeps_values(source, target) else [f"{at}: {source.simpleString()} to {target.simpleString()}"]
+
+
+def conform(df: DataFrame, target: str | T.StructType) -> DataFrame:
+    """The frame brought to a target schema by name: columns and nested fields in the target's order, narrower
+    types widened, nullable ones that are absent filled with nulls, others dropped.
+
+    A missing field that may not be null, a nullable one where the target has none, and a type that could lose
+    values are errors, raised before any row is read.
+    """
+    schema = T.StructType.fromDDL(target) if isinstance(target, str) else target
+    losses = _losses(df.schema, schema, "")
+    if losses:
+        raise ValueError("values could be lost: " + "; ".join(losses))
+    return df.to(schema)
+
+
 def create_table_sql(schema: T.StructType, table: str, primary_key: str,
                      types: Mapping[str, str]) -> str:
     """CREATE TABLE text; a type without a mapping is an error."""

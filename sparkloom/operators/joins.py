@@ -45,7 +45,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def _bounded(df: DataFrame, most_rows: int) -> DataFrame:
-    """The frame itself; an error when it does not keep the bound that the caller declares for it."""
+    """A written copy of the frame, so that its plan runs once; an error when it does not keep the bound that the
+    caller declares for it."""
+    df = freeze(df.sparkSession, df, "bounded")
     if df.count() > most_rows:
         raise ValueError(f"the side declared as bounded has more than {most_rows} rows")
     return df

@@ -63,9 +63,14 @@ def agg_max(spark, sf_dir):
     return by_status.withColumn("highest_of_all", overall.scalar())
 
 
-@query("agg_pivot", """
-    pivot (select o_custkey, o_orderpriority, cast(o_totalprice as decimal(18,2)) as price from orders)
-    on o_orderpriority using cast(sum(price) as double) group by o_custkey""")
+# The values of o_orderpriority, which the SQL has to spell out.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+PIVOT_SQL = "select o_custkey, " + ", ".join(
+    f"cast(sum(case when o_orderpriority = '{p}' then cast(o_totalprice as decimal(18,2)) end) as double) as \"{p}\""
+    for p in PRIORITIES) + " from orders group by o_custkey"
+
+
+@query("agg_pivot", PIVOT_SQL)
 def agg_pivot(spark, sf_dir):
     """A column per priority that occurs; a customer without orders of a priority has a null cell."""
     wide = aggregates.pivot_sum(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.operators import joins
 from sparkloom.registry import query, table
+from sparkloom.session import skew_settings
 
 
 @query("join_inner_using", """
@@ -133,6 +134,22 @@ def join_salted(spark, sf_dir):
             .select("o_orderkey", "o_custkey", "c_name"))
 
 
+@query("join_skew_aqe", """
+    select l_orderkey, l_linenumber, p_partkey, p_brand
+    from (select l_orderkey, l_linenumber, case when l_orderkey % 10 < 7 then 1 else l_partkey end as p_partkey
+          from lineitem) join part using (p_partkey)""")
+def join_skew_aqe(spark, sf_dir):
+    """One key has seven lines of ten. Nothing is salted: adaptive execution splits its partition."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_orderkey") % 10 < 7, F.lit(1)).otherwise(F.col("l_partkey")).alias("p_partkey"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for key, value in skew_settings(joins.planned_bytes(lines), partitions).items():
+        spark.conf.set(key, value)  # the query's own session
+    return joins.sort_merge_join(lines, part, ["p_partkey"]).select("l_orderkey", "l_linenumber", "p_partkey", "p_brand")
+
+
 # Fixed lookup values of the query and its oracle.
 SEGMENT_CODES = {"BUILDING": 1, "MACHINERY": 2, "HOUSEHOLD": 3}
 

@@ -113,6 +113,18 @@ def schema_upper(spark, sf_dir):
                                               F.col("BOO.TYPES")[0]["TYPE"].alias("TYPE"))
 
 
+@query("schema_conform", """
+    select p_partkey, cast(p_size as bigint) as p_size, cast(null as double) as weight, p_type,
+           cast(null as varchar) as origin, p_brand
+    from part""")
+def schema_conform(spark, sf_dir):
+    """Another order of columns, wider numbers, absent fields as nulls, inside a struct too; the rest is dropped."""
+    part = table(spark, sf_dir, "part").select("p_brand", "p_size", F.struct("p_brand", "p_type", "p_name").alias("kind"),
+                                               "p_partkey", "p_retailprice")
+    target = "p_partkey bigint, p_size bigint, weight double, kind struct<p_type: string, origin: string, p_brand: string>"
+    return schemas.conform(part, target).select("p_partkey", "p_size", "weight", "kind.*")
+
+
 @query("fn_array_pick", """
     select event_id, list_value('north', 'east', 'south', 'west')[1 + event_id % 4] as side from events""")
 def fn_array_pick(spark, sf_dir):

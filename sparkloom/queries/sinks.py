@@ -23,6 +23,22 @@ def sink_modes(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("sink_observed", """
+    select count(*) as n, count(case when l_returnflag = 'R' then 1 end) as returned,
+           cast(sum(cast(l_quantity as decimal(18,2))) as double) as quantity,
+           min(l_shipdate) as earliest, max(l_orderkey) as highest
+    from lineitem""")
+def sink_observed(spark, sf_dir):
+    """Figures of a write, taken while it runs: the table is scanned once."""
+    lines = table(spark, sf_dir, "lineitem")
+    seen = writers.write_observed(
+        lines, new_dir(spark, "observed"), n=F.count(F.lit(1)), returned=F.count(F.when(F.col("l_returnflag") == "R", 1)),
+        quantity=F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double"), earliest=F.min("l_shipdate"),
+        highest=F.max("l_orderkey"))
+    return spark.createDataFrame([tuple(seen.values())], "n bigint, returned bigint, quantity double, "
+                                 "earliest timestamp_ntz, highest bigint").toDF(*seen)
+
+
 @query("sink_text", """
     select concat(o_orderkey, '|', o_orderstatus, '|', o_orderpriority) as value from orders""")
 def sink_text(spark, sf_dir):

@@ -13,19 +13,20 @@ from sparkloom.registry import table
 from sparkloom.scratch import new_dir, stage_once
 from sparkloom.session import state_settings
 from sparkloom.sources import connectors, inserts
-from sparkloom.streaming import batch_writers, custom, runner, stateful
-from sparkloom.streaming.staging import SLICES_SQL, Arrivals, stage_arrivals, stream_arrivals
+from sparkloom.streaming import batch_writers, control, custom, runner, stateful, table_source
+from sparkloom.streaming.staging import SLICES_SQL, Arrivals, slices_for, stage_arrivals, stream_arrivals
 
 query = functools.partial(registry.query, settings=state_settings)
 
 _arrivals: dict[str, Arrivals] = {}
 
 
-def _staged(spark, sf_dir, label, df, ts) -> Arrivals:
+def _staged(spark, sf_dir, label, df, ts, order, least_slices=None) -> Arrivals:
     made = {}
 
     def write(path):
-        made["arrivals"] = stage_arrivals(df, ts, path)
+        slices = None if least_slices is None else max(least_slices, slices_for(df.count()))
+        made["arrivals"] = stage_arrivals(df, ts, path, slices, order=order)
 
     path = stage_once(spark, sf_dir, label, write)
     if made:
@@ -35,7 +36,8 @@ def _staged(spark, sf_dir, label, df, ts) -> Arrivals:
 
 def event_stream(spark, sf_dir):
     """(event_id, ts, user_id, event_type, value, props), ts being an instant."""
-    return stream_arrivals(spark, _staged(spark, sf_dir, "event-arrivals", table(spark, sf_dir, "events"), "ts"))
+    return stream_arrivals(spark, _staged(spark, sf_dir, "event-arrivals", table(spark, sf_dir, "events"), "ts",
+                                        ["event_id"]))
 
 
 @query("st_file_source", """
@@ -126,6 +128,23 @@ def st_dedup_wm(spark, sf_dir):
     return runner.append_result(result.select("event_id", as_ntz("ts").alias("ts")))
 
 
+@query("st_dedup_within_watermark", """
+    select event_id, unnest([0, 1]) as round from events where ts is not null""")
+def st_dedup_within_watermark(spark, sf_dir):
+    """Every event comes three times within twenty minutes, each time with another time, and counts once. Long after,
+    when the state has let it go, it comes three times again and counts once more."""
+    low, high = table(spark, sf_dir, "events").agg(F.min("ts"), F.max("ts")).first()
+    far = 0 if low is None else int((high - low).total_seconds()) // 60 + 24 * 60
+    shifts = F.array(*[F.struct(F.lit(r).alias("round"), F.lit(r * far + m).alias("minutes"))
+                       for r in (0, 1) for m in (0, 10, 20)])
+    echoes = (table(spark, sf_dir, "events").filter("ts is not null")
+              .select("event_id", "ts", F.explode(shifts).alias("echo"))
+              .select("event_id", "echo.round", (F.col("ts") + F.make_dt_interval(mins=F.col("echo.minutes"))).alias("ts")))
+    staged = _staged(spark, sf_dir, "echo-arrivals", echoes, "ts", ["event_id"], least_slices=8)
+    once = stateful.dedup_within_watermark(stream_arrivals(spark, staged), ["event_id"], "ts", "1 hour")
+    return runner.append_result(once.select("event_id", "round"))
+
+
 @query("st_dedup_minute", "select distinct event_type, date_trunc('minute', ts) as minute from events")
 def st_dedup_minute(spark, sf_dir):
     stream = event_stream(spark, sf_dir).select("event_id", "event_type", "ts")
@@ -149,14 +168,13 @@ def st_union_window(spark, sf_dir):
     return latest.select("event_type", as_ntz("window_start").alias("window_start"), "n")
 
 
-# Batch k is slice k of equal time slices. A row of batch k is judged by the watermark that the
-# batches before k - 1 have set.
+# Batch k is slice k of equal numbers of rows in the order of time. A row of batch k is judged by the watermark
+# that the batches before k - 1 have set.
 LATE_SQL = f"""
-    with lim as (select min(ts) as lo, (epoch_us(max(ts)) - epoch_us(min(ts))) // {SLICES_SQL} + 1 as width
-                 from events),
+    with lim as (select (count(*) + {SLICES_SQL} - 1) // {SLICES_SQL} as per_slice from events),
     e as (select event_type,
                  case when event_type = 'error' then ts - interval 3 days else ts end as et,
-                 cast((epoch_us(ts) - epoch_us(lo)) // width as int) as batch
+                 (row_number() over (order by ts nulls last, event_id) - 1) // per_slice as batch
           from events, lim),
     peaks as (select batch, max(et) as peak from e group by batch),
     marks as (select b.batch, (select max(p.peak) from peaks p where p.batch < b.batch - 1)
@@ -262,11 +280,9 @@ def st_join_interval_onesided(spark, sf_dir):
     from events""")
 def st_render_inserts(spark, sf_dir):
     """Each micro-batch as INSERT statements through the custom sink."""
-    custom.register(spark)
     out = new_dir(spark, "statements")
     stream = inserts.render_inserts(event_stream(spark, sf_dir).select("event_id", "ts", "event_type"), "foo")
-    runner.run_available(stream.writeStream.format(custom.SINK_NAME).option("path", out),
-                         new_dir(spark, "checkpoint"))
+    runner.run_available(custom.write_statements(stream, out), new_dir(spark, "checkpoint"))
     return custom.committed_statements(spark, out)
 
 
@@ -275,5 +291,54 @@ def st_render_inserts(spark, sf_dir):
     from events""")
 def st_kafka_decode(spark, sf_dir):
     """Records of a stored topic as a stream; JSON values become columns."""
-    topic = _staged(spark, sf_dir, "topic-arrivals", event_topic(spark, sf_dir), "timestamp")
+    topic = _staged(spark, sf_dir, "topic-arrivals", event_topic(spark, sf_dir), "timestamp", ["partition", "offset"])
     return runner.append_result(connectors.kafka_decode(stream_arrivals(spark, topic), EVENT_VALUE).drop("offset"))
+
+
+@query("st_custom_source", "select event_id, ts, user_id, event_type, value from events")
+def st_custom_source(spark, sf_dir):
+    """The stored table read by a source of our own, a bounded number of rows per micro-batch and per task."""
+    rows = table(spark, sf_dir, "events").count()
+    per_batch = max(1, -(-rows // slices_for(rows)))
+    stream = table_source.stream_table(spark, f"{sf_dir}/events.parquet", new_dir(spark, "offsets"), per_batch,
+                                       max(1, -(-per_batch // spark.sparkContext.defaultParallelism)),
+                                       table(spark, sf_dir, "events").schema)
+    out = new_dir(spark, "from-source")
+    runner.start_empty(stream, out)
+    runner.run_until_drained(stream.writeStream.format("parquet").option("path", out), new_dir(spark, "checkpoint"))
+    return spark.read.schema(stream.schema).parquet(out).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@query("st_restart", "select event_id, user_id, event_type from events")
+def st_restart(spark, sf_dir):
+    """A query that ends, and is started again on more input that also repeats the old: each event counts once, as
+    the second run has the state of the first."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    incoming, out, checkpoint = (new_dir(spark, name) for name in ("incoming", "restarted", "checkpoint"))
+    runner.start_empty(events, out)
+    for part in (events.filter("event_id % 2 = 0"), events):
+        part.write.mode("append").parquet(incoming)
+        stream = spark.readStream.schema(events.schema).parquet(incoming)
+        runner.append_more(stateful.dedup(stream, ["event_id"]), out, checkpoint)
+    return spark.read.schema(events.schema).parquet(out)
+
+
+@query("st_progress", f"""
+    with lim as (select (count(*) + {SLICES_SQL} - 1) // {SLICES_SQL} as per_slice from events),
+    e as (select user_id, (row_number() over (order by ts nulls last, event_id) - 1) // per_slice as batch_id
+          from events, lim),
+    first_seen as (select user_id, min(batch_id) as batch_id from e group by user_id),
+    sizes as (select batch_id, count(*) as input_rows from e group by batch_id)
+    select batch_id, input_rows, (select count(*) from first_seen f where f.batch_id <= s.batch_id) as state_rows
+    from sizes s""")
+def st_progress(spark, sf_dir):
+    """The record of a running count by user as a table: rows of each micro-batch, and users known after it."""
+    log = control.ProgressTable(spark, new_dir(spark, "progress"))
+    spark.streams.addListener(log)
+    try:
+        counts = event_stream(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+        writer = counts.writeStream.outputMode("update").foreachBatch(runner.per_batch_writer(new_dir(spark, "counts")))
+        log.wait(runner.run_available(writer, new_dir(spark, "checkpoint")))
+    finally:
+        spark.streams.removeListener(log)
+    return log.table().filter("input_rows > 0").select("batch_id", "input_rows", "state_rows")

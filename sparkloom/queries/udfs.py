@@ -10,6 +10,7 @@ from sparkloom.registry import query, table
 
 @query("udf_plus_one", "select o_orderkey, o_custkey + 1 as next from orders")
 def udf_plus_one(spark, sf_dir):
+    """A user function on whole Arrow arrays, where the feature is the function; in real work `o_custkey + 1` is it."""
     return table(spark, sf_dir, "orders").select("o_orderkey", udfs.plus_one("o_custkey").alias("next"))
 
 

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -33,7 +35,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def listing_key(spark: SparkSession, folder: str) -> str:
-    """A hash of names, sizes and times of the files at most two levels below a folder.
+    """A hash of names, sizes and times of all files and folders below a folder.
 
     One short text per file of the input tables is seen, never data.
     """
@@ -41,7 +43,7 @@ def listing_key(spark: SparkSession, folder: str) -> str:
     if not files.exists(at):
         return "absent"
     digest, level = hashlib.sha256(), [at]
-    for _ in range(2):
+    while level:
         below = []
         for entry in (status for path in level for status in files.listStatus(path)):
             digest.update(f"{entry.getPath()}|{entry.getLen()}|{entry.getModificationTime()};".encode())
@@ -51,6 +53,52 @@ def listing_key(spark: SparkSession, folder: str) -> str:
     return digest.hexdigest()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and host of the file system on which Spark finds it."""
+    files, at = _file_system(spark, path)
+    return str(files.makeQualified(at))
+
+
+@dataclass(frozen=True)
+class StoredFile:
+    path: str
+    bytes: int
+    modified_ms: int
+
+
+def list_files(spark: SparkSession, folder: str) -> list[StoredFile]:
+    """Data files directly in a folder, by name; hidden ones and marker files are left out."""
+    files, at = _file_system(spark, folder)
+    found = [StoredFile(str(s.getPath()), s.getLen(), s.getModificationTime()) for s in files.listStatus(at)
+             if not s.isDirectory() and not s.getPath().getName().startswith(("_", "."))]
+    return sorted(found, key=lambda f: f.path)
+
+
+def publish_file(spark: SparkSession, source: str, target: str, keep: bool = False) -> int:
+    """Move a file (or copy it, if it is to be kept) to a path on the same file system, modified now; gives that
+    time. Renaming keeps a file's time on some file systems and others cannot set it, so both are done."""
+    files, at = _file_system(spark, source)
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(to.getParent())
+    if keep:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(files, at, files, to, False, conf)
+    elif not files.rename(at, to):
+        raise OSError(f"{source} could not be moved to {target}")
+    files.setTimes(to, int(time.time() * 1000), -1)
+    return int(files.getFileStatus(to).getModificationTime())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file of its own; it must not exist."""
+    files, at = _file_system(spark, path)
+    out = files.create(at, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the session; a temporary folder only for local masters."""
     context = spark.sparkContext

@@ -38,6 +38,22 @@ def state_settings(spark: SparkSession) -> dict[str, str]:
             "spark.sql.shuffle.partitions": str(min(wanted, 2 * spark.sparkContext.defaultParallelism))}
 
 
+# Sizes beyond which Spark's own defaults hold.
+_MOST_ADVISORY, _MOST_SKEWED, _LEAST_BYTES = 64 << 20, 256 << 20, 16 << 10
+
+
+def skew_settings(table_bytes: int, partitions: int) -> dict[str, str]:
+    """Settings under which adaptive execution splits skewed partitions of a shuffle of this size: a partition of
+    twice the even share is skewed, and its parts are a quarter of a share. Large tables get Spark's defaults."""
+    share = max(1, table_bytes // max(1, partitions))
+    return {
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(min(_MOST_SKEWED, max(_LEAST_BYTES, share))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(_MOST_ADVISORY, max(_LEAST_BYTES, share // 4))),
+    }
+
+
 def child_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     """A session of the same application with the caller's settings and some of its own, which the caller's
     session and other threads do not get."""

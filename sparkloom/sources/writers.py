@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from sparkloom.operators.layout import balanced_for_write
 
@@ -29,6 +29,16 @@ def overwrite_partitions(df: DataFrame, path: str, keys: list[str], fmt: str = "
         .partitionBy(*keys).format(fmt).save(path))
 
 
+def write_observed(df: DataFrame, path: str, fmt: str = "parquet", **metrics: Column) -> dict:
+    """Write a frame and give aggregates of the written rows, measured by the write itself: the input is read once.
+
+    The aggregates are named. As they are taken in the tasks that write, a row counts once even if a task is run again.
+    """
+    seen = Observation()
+    df.observe(seen, *[m.alias(name) for name, m in metrics.items()]).write.format(fmt).save(path)
+    return dict(seen.get)
+
+
 def write_quietly(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Without the _SUCCESS marker file."""
     (df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")

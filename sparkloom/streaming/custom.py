@@ -13,8 +13,11 @@ from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (DataSource, DataSourceStreamReader, DataSourceStreamWriter,
                                     InputPartition, WriterCommitMessage)
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
+from sparkloom.scratch import qualified
+
 SOURCE_NAME = "numbered"
 SINK_NAME = "statements"
 
@@ -79,17 +82,37 @@ class WrittenFile(WriterCommitMessage):
 
 
 def _target(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a URI; a path without a scheme is on the machine's own disk, for local runs."""
+    """File system and path of a URI. A path without a scheme is on the machine's own disk: only a local run may name
+    one. `scratch.qualified` gives the URI that Spark itself would use, `write_statements` does so."""
     if path.startswith("file:") and not path.startswith("file://"):
         path = path.removeprefix("file:")
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+@dataclass(frozen=True)
+class Manifest:
+    batch: int
+    attempt: int
+    path: str
+
+
+def _manifests(files: fs.FileSystem, base: str) -> list[Manifest]:
+    """All manifests, by batch and attempt."""
+    found = []
+    for info in files.get_file_info(fs.FileSelector(base)):
+        if info.base_name.startswith("batch-") and info.extension == "json":
+            _, batch, attempt, _ = info.base_name.split("-", 3)
+            found.append(Manifest(int(batch), int(attempt), info.path))
+    return sorted(found, key=lambda m: (m.batch, m.attempt, m.path))
+
+
 class StatementsWriter(DataSourceStreamWriter):
     """Each task writes its own file; the batch counts only once its manifest lists them.
 
     All files go through the file system that the URI names, so on a cluster the path is on shared storage.
-    A repeated batch replaces its manifest, and files that no manifest lists do not count.
+    Each attempt at a batch writes a manifest of its own name, which appears whole by a rename; the newest of a batch
+    counts, older ones are deleted afterwards. So at no moment is a committed batch unlisted, and files that no
+    counting manifest lists do not count.
     """
 
     def __init__(self, path: str):
@@ -110,12 +133,14 @@ class StatementsWriter(DataSourceStreamWriter):
         files, base = _target(self.path)
         files.create_dir(base, recursive=True)
         written = [{"file": m.file, "rows": m.rows} for m in messages if m is not None]
-        final = f"{base}/batch-{batchId:010d}.json"
+        before = [m for m in _manifests(files, base) if m.batch == batchId]
+        attempt = max((m.attempt for m in before), default=-1) + 1
+        final = f"{base}/batch-{batchId:010d}-{attempt:06d}-{uuid.uuid4().hex}.json"
         with files.open_output_stream(f"{final}.tmp") as out:
             out.write(json.dumps({"batch": batchId, "files": written}).encode())
-        if files.get_file_info(final).type != fs.FileType.NotFound:
-            files.delete_file(final)
         files.move(f"{final}.tmp", final)
+        for old in before:
+            files.delete_file(old.path)
 
     def abort(self, messages, batchId: int) -> None:
         files, base = _target(self.path)
@@ -142,23 +167,29 @@ class StatementsSink(DataSource):
 def committed_files(path: str) -> list[str]:
     """Files of the committed batches, as paths to read: one short text per task of a batch."""
     files, base = _target(path)
+    newest = {m.batch: m for m in _manifests(files, base)}
     found = []
-    for info in sorted(files.get_file_info(fs.FileSelector(base)), key=lambda i: i.base_name):
-        if info.base_name.startswith("batch-") and info.extension == "json":
-            with files.open_input_stream(info.path) as manifest:
-                listed = json.loads(manifest.read())["files"]
-            found += [f"{path.rstrip('/')}/{part['file']}" for part in listed]
+    for manifest in newest.values():
+        with files.open_input_stream(manifest.path) as opened:
+            listed = json.loads(opened.read())["files"]
+        found += [f"{path.rstrip('/')}/{part['file']}" for part in listed]
     return found
 
 
 def committed_statements(spark: SparkSession, path: str) -> DataFrame:
     """Statements of the committed batches, one per row."""
-    found = committed_files(path)
+    found = committed_files(qualified(spark, path))
     if not found:
         return spark.createDataFrame([], "statement string")
     return spark.read.text(found).withColumnRenamed("value", "statement")
 
 
+def write_statements(statements: DataFrame, path: str) -> DataStreamWriter:
+    """A stream of statements into the sink at a path on any file system that Spark resolves."""
+    register(statements.sparkSession)
+    return statements.writeStream.format(SINK_NAME).option("path", qualified(statements.sparkSession, path))
+
+
 def register(spark: SparkSession) -> None:
     """Make both formats known to the session and to the thread's active one, where Spark looks a sink up."""
     for session in (spark, SparkSession.getActiveSession() or spark):

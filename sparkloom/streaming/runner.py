@@ -6,19 +6,34 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sparkloom.scratch import new_dir
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
+def run_available(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     """Process all available input in micro-batches, then stop; a failure of the stream is raised.
 
     The state store and its number of partitions are the session's (see `session.state_settings`).
     """
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def run_until_drained(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
+    """Run micro-batches one after another until the source has nothing more, then stop; a failure is raised.
+
+    For sources whose batches are bounded by themselves: `availableNow` would ask them for one batch only.
+    """
+    query = writer.option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
 
 
 def start_empty(df: DataFrame, path: str) -> None:
@@ -36,6 +51,16 @@ def append_result(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(out)
 
 
+def append_more(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Process what has come since the last run with this checkpoint, or all on the first one, into a parquet sink.
+
+    The checkpoint's offset and commit logs say what is done and its state store what was seen, so a query that is
+    started again, by another process or after a failure, goes on as if it had never stopped. The plan must keep its
+    sources and stateful steps.
+    """
+    return run_available(df.writeStream.outputMode("append").format("parquet").option("path", out), checkpoint)
+
+
 def per_batch_writer(path: str) -> BatchWriter:
     """Each micro-batch in a directory of its own, so a repeated batch replaces itself."""
     def write(batch: DataFrame, batch_id: int) -> None:

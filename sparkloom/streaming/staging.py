@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import math
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkloom.functions.timestamps import as_instant
+from sparkloom.operators.positions import global_row_number
+from sparkloom.scratch import delete_path, list_files, new_dir, publish_file
 
 LEAST_SLICES = 4
 ROWS_PER_SLICE = 50_000_000
@@ -35,58 +36,78 @@ class Arrivals:
     files_per_slice: int
 
 
-def _edges(low, high, slices: int) -> list:
-    width = timedelta(microseconds=(high - low) // timedelta(microseconds=1) // slices + 1)
-    return [low + width * i for i in range(slices + 1)]
+@dataclass(frozen=True)
+class Cuts:
+    """How rows numbered from 0 in time order fall into slices and files; all slices but short tables' last ones
+    have the same number of rows, whatever their times."""
+
+    rows: int
+    slices: int
+    rows_per_file: int
 
+    @property
+    def per_slice(self) -> int:
+        return max(1, -(-self.rows // self.slices))
 
-def slice_edges(df: DataFrame, ts: str, slices: int):
-    """Edges of equal time slices over the whole column: [e0, e1), [e1, e2), ... (none without times)."""
-    low, high = df.agg(F.min(ts), F.max(ts)).first()
-    return [] if low is None else _edges(low, high, slices)
+    @property
+    def files(self) -> int:
+        """Files of a slice."""
+        return max(1, -(-self.per_slice // self.rows_per_file))
 
+    @property
+    def per_file(self) -> int:
+        return -(-self.per_slice // self.files)
 
-def _files(spark: SparkSession, path: str, after):
-    """Number of data files, of those newer than `after`, and the newest time; file contents are not read."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("modificationTime")
-    newer = F.lit(True) if after is None else F.col("modificationTime") > F.lit(after)
-    return found.agg(F.count(F.lit(1)), F.count(F.when(newer, 1)), F.max("modificationTime")).first()
+    def files_of(self, slice_number: int) -> int:
+        """Files of this slice that hold rows; a slice at the end of the table may lack some."""
+        inside = min(self.per_slice, max(0, self.rows - slice_number * self.per_slice))
+        return -(-inside // self.per_file)
 
 
 def stage_arrivals(df: DataFrame, ts: str, path: str, slices: int | None = None,
-                   rows_per_file: int = ROWS_PER_FILE) -> Arrivals:
-    """Write the table slice after slice, oldest first, so file times follow event times.
-
-    `ts` is zone-less in the table and written as an instant, which watermarks need. Every slice has the
-    same number of files, short ones some without rows, so that as many files per trigger give one slice
-    per micro-batch whatever the slices' sizes; both that and rising file times are checked. The slice
-    filters are plain ranges on the stored column. Rows without a time have no place in the order and come
-    last, as a slice of their own.
+                   rows_per_file: int = ROWS_PER_FILE, order: Sequence[str] = ()) -> Arrivals:
+    """Write the table as slices of equal numbers of rows, oldest first, so file times follow event times.
+
+    `ts` is zone-less in the table and written as an instant, which watermarks need. Rows are numbered by time and,
+    where times are equal, by `order`; so a burst, even one at a single instant, is cut like any other rows. The
+    numbered rows are written once, a file per task; then the files are published one by one by renaming them. Every
+    slice has the same number of files, so that as many files per trigger give one slice per micro-batch; a last
+    slice with fewer rows gets files without rows. Rising file times are checked. Rows without a time come last.
     """
-    spark, instants = df.sparkSession, as_instant(df, ts)
-    low, high, rows = df.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
+    spark = df.sparkSession
+    instants = as_instant(df, ts)
+    numbered = global_row_number(instants, [F.col(ts).asc_nulls_last(), *order], "__rn")
+    rows = df.count()
     if not rows:
         instants.write.mode("append").parquet(path)
         return Arrivals(path, instants.schema, 1)
-    edges = [] if low is None else _edges(low, high, slices or slices_for(rows))
-    literals = [F.expr(f"timestamp_ntz'{e.isoformat(sep=' ')}'") for e in edges]
-    parts = [(F.col(ts) >= a) & (F.col(ts) < b) for a, b in zip(literals, literals[1:])] + [F.col(ts).isNull()]
-    number = F.coalesce(*[F.when(part, i) for i, part in enumerate(parts)])
-    sizes = {r["slice"]: r["n"] for r in
-             df.groupBy(number.alias("slice")).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per slice
-    files = max(1, math.ceil(max(sizes.values()) / rows_per_file))
-    total, newest = 0, None
-    for i in sorted(sizes):
-        time.sleep(0.02)  # file times have a resolution; equal ones would mix two slices
-        as_instant(df.filter(parts[i]).repartition(files), ts).write.mode("append").parquet(path)
-        total += files
-        for _ in range(total - _files(spark, path, newest)[0]):
-            spark.createDataFrame([], instants.schema).coalesce(1).write.mode("append").parquet(path)
-        count, newer, last = _files(spark, path, newest)
-        if count != total or newer != files:
-            raise RuntimeError(f"slice {i} has {newer} files of {files} after the ones before it")
-        newest = last
-    return Arrivals(path, instants.schema, files)
+    cuts = Cuts(rows, slices or slices_for(rows), rows_per_file)
+    number = F.col("__rn") - 1
+    slice_number = F.floor(number / F.lit(cuts.per_slice))
+    file_number = F.floor((number - slice_number * cuts.per_slice) / F.lit(cuts.per_file))
+    staged = new_dir(spark, "staged")
+    (numbered.select(*instants.columns, slice_number.cast("int").alias("__slice"), file_number.cast("int").alias("__file"))
+     .repartition(cuts.slices * cuts.files, "__slice", "__file")
+     .write.partitionBy("__slice", "__file").parquet(staged))
+    empty = new_dir(spark, "no-rows")
+    spark.createDataFrame([], instants.schema).coalesce(1).write.parquet(empty)
+    no_rows = [f for f in list_files(spark, empty) if f.path.endswith(".parquet")][0]
+    newest = 0
+    for s in range(-(-rows // cuts.per_slice)):
+        time.sleep(0.005)  # file times have a resolution; equal ones would mix two slices
+        times = []
+        for f in range(cuts.files):
+            folder = f"{staged}/__slice={s}/__file={f}"
+            source = [part.path for part in list_files(spark, folder)] if f < cuts.files_of(s) else [no_rows.path]
+            if len(source) != 1:
+                raise RuntimeError(f"{folder} has {len(source)} files instead of one")
+            times.append(publish_file(spark, source[0], f"{path}/slice-{s:06d}-{f:06d}.parquet", keep=f >= cuts.files_of(s)))
+        if min(times) <= newest:
+            raise RuntimeError(f"files of slice {s} are not newer than the ones before")
+        newest = max(times)
+    for made in (staged, empty):
+        delete_path(spark, made)
+    return Arrivals(path, instants.schema, cuts.files)
 
 
 def stream_arrivals(spark: SparkSession, arrivals: Arrivals) -> DataFrame:

@@ -35,6 +35,21 @@ def dedup_within(stream: DataFrame, keys: Sequence[str], ts: str, unit: str, del
     return dedup_with_watermark(stream.withColumn(ts, floor_to(ts, unit)), keys, ts, delay, salt_on, salts)
 
 
+def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], ts: str, delay: str,
+                           salt_on: Sequence[str] = (), salts: int = 8) -> DataFrame:
+    """One row per key among rows whose event times lie within `delay` of the first one seen.
+
+    Unlike `dedup_with_watermark` the time is no part of the key, so repeats that come with another time are dropped
+    too, and the state keeps a key only until the watermark has passed its first row's time plus the delay: a key
+    that comes back after that counts again. Late rows are dropped. `salt_on` spreads hot keys as in `dedup`.
+    """
+    stream = stream.withWatermark(ts, delay)
+    if salt_on:
+        salt = F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int")
+        stream = stream.withColumn("__salt", salt).dropDuplicatesWithinWatermark([*keys, "__salt"]).drop("__salt")
+    return stream.dropDuplicatesWithinWatermark(list(keys))
+
+
 def count_by_floor(stream: DataFrame, keys: Sequence[str], ts: str, unit: str, delay: str) -> DataFrame:
     """Counts per key and floored event time, with a watermark on the floored column."""
     return (stream.withColumn(ts, floor_to(ts, unit)).withWatermark(ts, delay)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sparkloom.registry import table
 from sparkloom.sources import inserts
 from sparkloom.streaming import batch_writers, control, custom, runner, stateful
-from sparkloom.streaming.staging import slice_edges, stage_arrivals, stream_arrivals
+from sparkloom.streaming.staging import Cuts, stage_arrivals, stream_arrivals
 
 NOON = dt.datetime(2024, 5, 1, 12)
 
@@ -32,10 +32,6 @@ def one_file_per_batch(spark, path, schema):
 
 def test_slices_cover_the_table_in_time_order(spark, sf_dir, arrivals):
     events = table(spark, sf_dir, "events")
-    edges = slice_edges(events, "ts", 4)
-    assert len(edges) == 5
-    low, high = events.agg(F.min("ts"), F.max("ts")).first()
-    assert edges[0] == low and edges[-1] > high
     assert spark.read.parquet(arrivals.path).count() == events.count()
     files = sorted((os.path.join(arrivals.path, f) for f in os.listdir(arrivals.path) if f.endswith(".parquet")),
                    key=os.path.getmtime)
@@ -49,10 +45,25 @@ def test_slices_with_several_files_stay_one_batch(spark, sf_dir, out, tmp_path):
     sizes = {}
     writer = batch_writers.counted(runner.per_batch_writer(str(tmp_path / "w")), lambda b, n: sizes.update({b: n}))
     runner.run_available(stream_arrivals(spark, staged).writeStream.foreachBatch(writer), str(tmp_path / "c"))
-    edges = [F.expr(f"timestamp_ntz'{e}'") for e in slice_edges(table(spark, sf_dir, "events"), "ts", 3)]
-    want = [table(spark, sf_dir, "events").filter((F.col("ts") >= a) & (F.col("ts") < b)).count()
-            for a, b in zip(edges, edges[1:])]
-    assert [sizes[k] for k in sorted(sizes)] == want
+    rows = table(spark, sf_dir, "events").count()
+    per_slice = -(-rows // 3)
+    assert [sizes[k] for k in sorted(sizes)] == [per_slice, per_slice, rows - 2 * per_slice]
+
+
+def test_bursts_do_not_make_large_slices(spark, out):
+    """Nine rows of ten at one instant, rows without a time, and a last slice that lacks files."""
+    rows = [(NOON, k) for k in range(900)] + [(NOON + dt.timedelta(hours=k), 1000 + k) for k in range(1, 91)]
+    rows += [(None, 2000 + k) for k in range(5)]
+    staged = stage_arrivals(spark.createDataFrame(rows, "ts timestamp_ntz, k int"), "ts", out, slices=7,
+                            rows_per_file=40, order=["k"])
+    cuts = Cuts(995, 7, 40)
+    assert staged.files_per_slice == cuts.files == 4 and cuts.files_of(6) == 4
+    files = sorted(f for f in os.listdir(out) if f.endswith(".parquet"))
+    counts = [spark.read.parquet(f"{out}/{f}").count() for f in files]
+    assert len(files) == 28 and sum(counts) == 995 and max(counts) <= 40
+    assert [sum(counts[4 * s:4 * s + 4]) for s in range(7)] == [143] * 6 + [137]
+    assert spark.read.parquet(*[f"{out}/{f}" for f in files[-4:]]).filter("ts is null").count() == 5
+    assert [Cuts(10, 4, 2).files_of(s) for s in range(4)] == [2, 2, 2, 1]
 
 
 def test_empty_table_and_rows_without_time(spark, sf_dir, out, tmp_path):
@@ -247,23 +258,27 @@ def test_state_settings_bound_the_partitions(spark):
 
 
 @pytest.mark.parametrize("sizes", [(100, 1, 100, 1), (1, 1, 95, 7)])
-def test_uneven_slices_stay_apart(spark, out, tmp_path, sizes):
+def test_bursty_times_give_even_batches(spark, out, tmp_path, sizes):
     rows = [(NOON + dt.timedelta(hours=h, seconds=k), h * 1000 + k) for h, n in enumerate(sizes) for k in range(n)]
     rows.append((NOON + dt.timedelta(hours=len(sizes)) - dt.timedelta(seconds=1), 99_999))
+    per_slice = -(-len(rows) // 4)
     staged = stage_arrivals(spark.createDataFrame(rows, "ts timestamp_ntz, k int"), "ts", out, slices=4, rows_per_file=10)
     assert staged.files_per_slice > 1
     seen = {}
     runner.run_available(stream_arrivals(spark, staged).writeStream.foreachBatch(
         batch_writers.counted(runner.per_batch_writer(str(tmp_path / "w")), lambda b, n: seen.update({b: n}))),
         str(tmp_path / "c"))
-    assert [seen[k] for k in sorted(seen)] == [*sizes[:-1], sizes[-1] + 1]
+    assert [seen[k] for k in sorted(seen)] == [per_slice] * 3 + [len(rows) - 3 * per_slice]
+    batches = spark.read.parquet(str(tmp_path / "w")).groupBy("batch_id").agg(F.min("ts"), F.max("ts")).orderBy("batch_id")
+    spans = [(r[1], r[2]) for r in batches.collect()]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
 def test_late_data_does_not_depend_on_file_counts(spark, sf_dir, monkeypatch):
     import __spark_entry__ as entry_module
     from check_oracle import compare, connect
     from sparkloom.streaming import staging
-    monkeypatch.setattr(staging.stage_arrivals, "__defaults__", (None, 40))
+    monkeypatch.setattr(staging.stage_arrivals, "__defaults__", (None, 40, ()))
     monkeypatch.setattr("sparkloom.scratch._staged", {})
     df = entry_module.queries()["st_late_data"](spark, sf_dir)
     assert compare(connect(sf_dir), entry_module.oracle_sql()["st_late_data"], df) is None
