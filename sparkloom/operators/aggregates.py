@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.joins import join_aggregate, null_safe_join
+from sparkloom.operators.joins import broadcast_if_small, join_aggregate, null_safe_join
 from sparkloom.operators.positions import group_row_number
+from sparkloom.scratch import freeze
 
 
 def salted_count(df: DataFrame, key: str, salt_on: Sequence[str], salts: int = 10,
@@ -39,14 +40,38 @@ def with_share_of_group(df: DataFrame, outer: str, inner: str) -> DataFrame:
 
 
 def collect_list_chunked(df: DataFrame, keys: list[str], value: str, order: list[str],
-                         chunk_rows: int = 1000) -> DataFrame:
+                         chunk_rows: int = 1000, long_rows: int = 100_000) -> DataFrame:
     """collect_list per key, ascending by `order`, in lists of at most `chunk_rows` values, nulls skipped.
 
     A key gives the rows `chunk` 0, 1, ... with n values each, only the last list being shorter; a key
-    without a value gives one empty list. Rows are numbered without gathering a key in one task, so a list
-    is all that a task holds of a key.
+    without a value gives one empty list. The rows of a key are counted first. Keys with up to `long_rows` are
+    grouped and cut in one shuffle; those with more, at most rows / long_rows of them, have their rows numbered
+    without gathering a key in one task, so a list is all that a task holds of such a key.
     """
-    rows = df.select(*dict.fromkeys([*keys, *order, value])).withColumn("__none", F.col(value).isNull())
+    rows = df.select(*dict.fromkeys([*keys, *order, value]))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > long_rows)
+    long_keys = freeze(df.sparkSession, sizes.select(*keys), "long-keys")
+    if not long_keys.count():
+        return _lists_of_short_keys(rows, keys, value, order, chunk_rows)
+    long_keys = broadcast_if_small(long_keys)
+    return (_lists_of_short_keys(null_safe_join(rows, long_keys, keys, "left_anti"), keys, value, order, chunk_rows)
+            .unionByName(_lists_of_long_keys(null_safe_join(rows, long_keys, keys, "left_semi"), keys, value, order,
+                                             chunk_rows)))
+
+
+def _lists_of_short_keys(rows: DataFrame, keys: list[str], value: str, order: list[str], chunk_rows: int) -> DataFrame:
+    """All values of a key in one sorted array, which is then cut."""
+    item = F.struct(*[F.col(c).alias(f"__{i}") for i, c in enumerate(order)], F.col(value).alias("__value"))
+    grouped = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.when(F.col(value).isNotNull(), item))).alias("__all"))
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size("__all") / chunk_rows).cast("int") - 1, F.lit(0)))
+    cut = F.transform(starts, lambda c: F.transform(F.slice("__all", c * chunk_rows + 1, chunk_rows),
+                                                    lambda item: item["__value"]))
+    return (grouped.select(*keys, F.posexplode(cut).alias("chunk", "items"))
+            .select(*keys, "chunk", F.size("items").cast("long").alias("n"), "items"))
+
+
+def _lists_of_long_keys(rows: DataFrame, keys: list[str], value: str, order: list[str], chunk_rows: int) -> DataFrame:
+    rows = rows.withColumn("__none", F.col(value).isNull())
     placed = group_row_number(rows, keys, ["__none", *order], "__rn")
     placed = placed.withColumn("chunk", F.expr(f"cast((__rn - 1) div {chunk_rows} as int)"))
     items = F.sort_array(F.collect_list(F.when(~F.col("__none"), F.struct("__rn", F.col(value).alias("__value")))))
@@ -82,13 +107,10 @@ def pivot_sum(df: DataFrame, key: str, column: str, measure: Column, values: Seq
 def letter_counts(df: DataFrame, text: str) -> DataFrame:
     """How often each character but blanks occurs, lower-cased.
 
-    Distinct words are counted first (combined on the map side), and each one's letters count as often.
+    Each task counts its characters in a table as small as the alphabet, so next to nothing is shuffled.
     """
-    words = (df.select(F.explode(F.split(F.lower(F.col(text)), " ")).alias("word"))
-             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    letters = words.select(F.explode(F.split("word", "")).alias("letter"), "n")
-    counts = letters.groupBy("letter").agg(F.sum("n").alias("n"))
-    return counts.filter(F.trim("letter") != "")
+    letters = df.select(F.explode(F.split(F.lower(F.col(text)), "")).alias("letter"))
+    return letters.groupBy("letter").agg(F.count(F.lit(1)).alias("n")).filter(F.trim("letter") != "")
 
 
 def with_global_count(df: DataFrame, name: str = "n") -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkloom.scratch import freeze
 
@@ -68,15 +69,23 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) ->
     """Keys with more than `hot_rows` rows, each with `__salts`: tasks that share it, hot_rows rows each.
 
     Without a number a key is hot when it has more rows than a shuffle partition would get if all were
-    equal. Written to the shared folder, with at most rows / hot_rows entries.
+    equal. There are fewer such keys than partitions, so the largest ones come to the driver, in one pass that also
+    counts all rows. With a number they are written to the shared folder, at most rows / hot_rows of them.
     """
     spark = df.sparkSession
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     if hot_rows is None:
-        counted = freeze(spark, counted, "key-counts")
-        rows = counted.agg(F.sum("__n")).first()[0] or 0
-        hot_rows = max(1, -(-rows // int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    counted = counted.filter(F.col("__n") > hot_rows)
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        seen = Observation()
+        counted = (df.select(*keys).observe(seen, F.count(F.lit(1)).alias("rows"))
+                   .groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")))
+        largest = counted.orderBy(F.desc("__n")).limit(partitions).collect()
+        share = max(1, -(-(seen.get["rows"] if largest else 0) // partitions))
+        schema = T.StructType([*df.select(*keys).schema.fields, T.StructField("__salts", T.IntegerType())])
+        hot = [(*r[:-1], -(-r[-1] // share)) for r in largest if r[-1] > share]
+        if not hot:  # an empty frame that the optimizer knows to be empty: joins with it vanish
+            return df.select(*keys, F.lit(1).alias("__salts")).limit(0)
+        return F.broadcast(spark.createDataFrame(hot, schema))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
     return freeze(spark, counted.select(*keys, F.ceil(F.col("__n") / hot_rows).cast("int").alias("__salts")), "hot-keys")
 
 
@@ -158,14 +167,15 @@ def prepartitioned_self_agg(df: DataFrame, key: str, partitions: int, salt_on: S
     """Rows joined to their group count over one shared hash partitioning of the rows.
 
     The rows are shuffled once; the counting and the row side of the join both use that partitioning.
-    With `salt_on`, hot keys are spread over several partitions and only the counts of the (key, salt)
+    With `salt_on`, hot keys, if there are any, are spread over several partitions and only the counts of the (key, salt)
     pairs, a few per hot key and one for any other, move again.
     """
-    if not salt_on:
+    hot = hot_keys(df, [key], hot_rows) if salt_on else None
+    if hot is None or hot.isEmpty():
         placed = df.repartition(partitions, key)
         counts = placed.groupBy(key).agg(F.count(F.lit(1)).alias(name))
         return placed.join(counts.hint("merge"), key)
-    salted = (with_salt(df, hot_keys(df, [key], hot_rows), [key], salt_on)
+    salted = (with_salt(df, hot, [key], salt_on)
               .repartition(partitions, key, "__salt"))
     partial = salted.groupBy(key, "__salt").agg(F.count(F.lit(1)).alias("__part"))
     per_salt = partial.select(key, "__salt", F.sum("__part").over(Window.partitionBy(key)).alias(name))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.operators.joins import planned_bytes
+
 
 def partition_counts(df: DataFrame, *by: str) -> DataFrame:
     """Rows per partition of a frame (non-empty partitions only), also by further columns."""
@@ -21,6 +23,18 @@ def balanced_for_write(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(k) for k in keys]) if keys else df.hint("rebalance")
 
 
+#: A table up to this size may lie in a single row group, which is one task's work however many cores there are.
+SPREAD_BYTES = 64 * 1024 * 1024
+
+
+def spread(df: DataFrame, most_bytes: int = SPREAD_BYTES) -> DataFrame:
+    """Deal the rows of a small table over all cores before heavy work on each row. Larger tables have row groups
+    enough and are not shuffled."""
+    if planned_bytes(df) > most_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def file_partitions(df: DataFrame) -> DataFrame:
     """Pieces of files behind a scan: path, size of the file, byte range and rows of each."""
     names = ("file_path", "file_size", "file_block_start", "file_block_length")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.operators import aggregates, positions
+from sparkloom.operators import aggregates, layout, positions
 from sparkloom.registry import query, table
 
 # Money is summed as a decimal, so the order of the rows cannot change the result.
@@ -148,7 +148,7 @@ def agg_top_groups(spark, sf_dir):
     where trim(letter) <> '' and letter <> chr(10) group by letter""")
 def agg_letter_count(spark, sf_dir):
     """Characters of all texts, lower-cased, without blanks and line ends."""
-    return (aggregates.letter_counts(table(spark, sf_dir, "documents"), "text")
+    return (aggregates.letter_counts(layout.spread(table(spark, sf_dir, "documents").select("text")), "text")
             .filter(F.col("letter") != "\n"))
 
 

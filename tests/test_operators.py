@@ -146,6 +146,15 @@ def test_long_lists_are_cut_into_rows_and_stay_whole(spark):
     assert sorted(r.n for r in aggregates.collect_list_chunked(nulls, ["k"], "id", ["id"], 4).collect()) == [2, 4, 4]
 
 
+@FEW
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "b", None]), st.integers(-3, 3),
+                          st.one_of(st.none(), st.integers(0, 9))), min_size=1, max_size=40), st.integers(1, 6))
+def test_long_and_short_lists_agree(spark, rows, chunk_rows):
+    df = spark.createDataFrame([(k, o, v, i) for i, (k, o, v) in enumerate(rows)], "k string, o int, v int, i int").repartition(3)
+    short, mixed, long_ = (aggregates.collect_list_chunked(df, ["k"], "v", ["o", "i"], chunk_rows, n) for n in (100, 4, 0))
+    assert tuples(short) == tuples(mixed) == tuples(long_)
+
+
 # --- joins -----------------------------------------------------------------------------------------
 
 @FEW
