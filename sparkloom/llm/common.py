@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from sparkloom.scratch import freeze
+
 #: Words in the sense of the near-duplicate operators: runs without ASCII white space.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
@@ -55,10 +57,11 @@ def fold(id_column: str, parts: int) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, per_class: int,
                     classes: Iterable, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(text, label) of at most `per_class` labelled rows of each class, by hash of the id.
+    """(__id, text, label) of at most `per_class` labelled ids of each class, by hash of the id; written, so that
+    `docs` is read once.
 
     Ids and labels are picked first; only these few rows, of a size bounded by the parameter, are
-    broadcast to fetch their texts. Of repeated ids the sample keeps every row of `docs`.
+    broadcast to fetch their texts. An id that is repeated counts once, with the least of its texts.
     """
     known = (labels.filter(F.col(label).isNotNull() & F.col(id_column).isNotNull())
              .groupBy(F.col(id_column).alias("__id")).agg(F.max(label).alias("__label")))
@@ -68,8 +71,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn_from:
     for value in classes:
         part = known.filter(F.col("__label") == value).orderBy(F.xxhash64("__id"), "__id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
-    return (docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text"))
-            .join(F.broadcast(picked), "__id").select("__id", "text", F.col("__label").alias("label")))
+    found = (docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text"))
+             .join(F.broadcast(picked), "__id").groupBy("__id")
+             .agg(F.min("text").alias("text"), F.first("__label").alias("label")))
+    return freeze(docs.sparkSession, found, "labelled-sample")
 
 
 def broadcast_counted(df: DataFrame, most_rows: int) -> DataFrame:

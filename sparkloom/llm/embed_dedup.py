@@ -3,15 +3,17 @@
 1. Vectors are turned by three rounds of random signs and fast Hadamard transforms; the largest coordinate and
    its sign name the nearest vertex of the cross-polytope. A table's key joins as many vertices as keep the
    expected number of strangers in a bucket low; the last may use few coordinates only.
-2. A vector lies in one bucket of each table and probes the next likeliest ones (multiprobe: those whose
-   vertex gives up least). All that meet in a bucket are tied to its least resident; the components of the
-   ties are clusters of candidates.
-3. Clusters are cut into blocks of bounded size and tasks compare two blocks with one matrix product. They
-   return each vector's number of links and a spanning forest of the links. Equal vectors are compared once.
-
-Vectors are compared only when labels are equal and not null and lengths agree. Null, empty and zero vectors
-and vectors with null or non-finite components link with nothing. Ids are expected to be unique; rows without
-an id are alone. Other columns are not read; no rows give no rows.
+2. Rows of equal label and vector form a class, which has a number. A class lies in one bucket of each table and
+   probes the next likeliest ones (multiprobe: those whose vertex gives up least). All that meet in a bucket are
+   tied to its least resident; the components of the ties are clusters of candidates.
+3. Clusters are cut into blocks of bounded size and tasks compare two blocks, with one matrix product for each label
+   and length in both. They return each class's number of links and a spanning forest of the links.
+
+Vectors are compared only when labels are equal and not null and lengths agree: keys of different labels may fall
+together by chance, so both are looked at again for every pair. Null, empty and zero vectors and vectors with null
+or non-finite components link with nothing. Rows without an id are alone. Rows that repeat an id are judged each by
+their own label and vector and count each as a vector; a component is named by the least id in it. Other columns are
+not read; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -128,8 +130,8 @@ def _usable(vector) -> np.ndarray | None:
 
 
 def hashed(vectors: DataFrame, bits: int, params: PolytopeParams, columns: tuple[str, str, str]) -> DataFrame:
-    """(id, grp, d1, d2, vec, keys): label and length, digest of label and vector, scaled vector, table keys;
-    null keys where a vector can link with nothing."""
+    """(id, label, d1, d2, vec, keys): digest of label and vector, scaled vector, table keys; null digests and keys
+    where a vector can link with nothing."""
     id_column, vector_column, label_column = columns
     kind = vectors.schema[id_column].dataType.simpleString()
 
@@ -152,56 +154,62 @@ def hashed(vectors: DataFrame, bits: int, params: PolytopeParams, columns: tuple
                     unit = np.stack([rows[k] for k in part])
                     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
                     for k, found in zip(part, hashers[length](unit)):
-                        own = hashlib.blake2b(labels[k].encode(), digest_size=8).digest()
+                        name = labels[k].encode()
+                        own = hashlib.blake2b(name, digest_size=8).digest()
                         keys[k] = (found ^ np.frombuffer(own, np.uint64)).view(np.int64)
-                        whole = hashlib.blake2b(own + rows[k].tobytes(), digest_size=16).digest()
+                        whole = hashlib.blake2b(len(name).to_bytes(8, "little") + name + rows[k].tobytes(),
+                                                digest_size=16).digest()
                         digests[k] = np.frombuffer(whole, np.int64).tolist()
-            return (ids, [d[0] for d in digests], [d[1] for d in digests],
+            return (ids, batch.column("label"), [d[0] for d in digests], [d[1] for d in digests],
                     [None if r is None else r.tobytes() for r in rows], keys)
         return fill
 
     narrow = vectors.select(F.col(id_column).alias("id"), F.col(vector_column).alias("vec"),
                             F.col(label_column).cast("string").alias("label"))
-    return map_batches(narrow, f"id {kind}, d1 bigint, d2 bigint, vec binary, keys array<bigint>", make)
+    return map_batches(narrow, f"id {kind}, label string, d1 bigint, d2 bigint, vec binary, keys array<bigint>", make)
 
 
-def _compare(least: float, kind: pa.DataType):
+def _compare(least: float):
     """Streams rows sorted by (cluster, pair, side): links of one pair of blocks at a time.
 
     A row (x, null, n) counts links of class x; a row (x, y, 0) is an edge of the spanning forest.
     """
+    def links(left, right, same):
+        """Counts and forest edges of two lists of (node, copies, vector), all of one label and length."""
+        x, y = (np.stack([r[2] for r in g]) for g in (left, right))
+        x, y = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (x, y))
+        near = x @ y.T >= least
+        if same:
+            np.fill_diagonal(near, False)
+        copies_left, copies_right = (np.array([r[1] for r in g]) for g in (left, right))
+        counts = [(r[0], int(n)) for r, n in zip(left, near @ copies_right)]
+        if not same:
+            counts += [(r[0], int(n)) for r, n in zip(right, copies_left @ near)]
+        edges = _forest(near, same, [r[0] for r in left], [r[0] for r in right])
+        return [(c, None, n) for c, n in counts if n] + [(i, j, 0) for i, j in edges]
+
     def run(batches):
-        key, held = None, []
+        key, blocks, sides = None, 1, {}
 
         def close():
-            sides = sorted({side for side, *_ in held})
-            groups = [[r for r in held if r[0] == s] for s in sides]
-            left, right, same = groups[0], groups[-1], len(groups) == 1
-            x, y = (np.stack([r[3] for r in g]) for g in (left, right))
-            x, y = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (x, y))
-            near = x @ y.T >= least
-            if same:
-                np.fill_diagonal(near, False)
-            copies_left, copies_right = (np.array([r[2] for r in g]) for g in (left, right))
-            counts = {r[1]: int(n) for r, n in zip(left, near @ copies_right)}
-            if not same:
-                counts |= {r[1]: int(n) for r, n in zip(right, copies_left @ near)}
-            edges = _forest(near, same, [r[1] for r in left], [r[1] for r in right])
-            rows = [(c, None, n) for c, n in counts.items() if n] + [(i, j, 0) for i, j in edges]
+            first, second = divmod(key[1], blocks)
+            left, right = sides.get(first, {}), sides.get(second, {})  # a block may have no rows
+            rows = [row for group in left if group in right
+                    for row in links(left[group], right[group], first == second)]
             if rows:
                 x, y, n = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(x, kind), pa.array(y, kind), pa.array(n, pa.int64())],
-                                                 names=["x", "y", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (x, y, n)], names=["x", "y", "n"])
 
         for batch in in_parts(batches):
-            columns = [batch.column(c).to_pylist() for c in ("cluster", "pair", "own", "id", "copies", "vec")]
-            for cluster, pair, own, node, copies, vec in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("cluster", "pair", "blocks", "own", "node", "copies", "label", "vec")]
+            for cluster, pair, n_blocks, own, node, copies, label, vec in zip(*columns):
                 if (cluster, pair) != key:
-                    if held:
+                    if sides:
                         yield from close()
-                    key, held = (cluster, pair), []
-                held.append((own, node, copies, np.frombuffer(vec, np.float64)))
-        if held:
+                    key, blocks, sides = (cluster, pair), n_blocks, {}
+                sides.setdefault(own, {}).setdefault((label, len(vec)), []).append(
+                    (node, copies, np.frombuffer(vec, np.float64)))
+        if sides:
             yield from close()
     return run
 
@@ -239,44 +247,51 @@ def _forest(near: np.ndarray, same: bool, left: list, right: list) -> list[tuple
     return edges
 
 
+def _compared(ones: DataFrame, members: DataFrame, params: PolytopeParams) -> DataFrame:
+    """Links inside the clusters of `members` (node, component), as `_compare` gives them."""
+    spark = ones.sparkSession
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    placed = freeze(spark, members.join(sizes, "component").select(
+        "node", F.col("component").alias("cluster"), F.ceil(F.col("size") / params.block).cast("int").alias("blocks")),
+        "clusters")
+    held = (ones.select("node", "copies", "label", "vec").join(placed, "node")
+            .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("pair", F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other"))
+            .select("cluster", "pair", "blocks", "own", "node", "copies", "label", "vec"))
+    return held.repartition("cluster", "pair").sortWithinPartitions("cluster", "pair").mapInArrow(
+        _compare(params.least_cosine), "x bigint, y bigint, n bigint")
+
+
 def near_vectors(vectors: DataFrame, params: PolytopeParams = PolytopeParams(), id_column: str = "vec_id",
                  vector_column: str = "embedding", label_column: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept) of every row."""
     spark = vectors.sparkSession
     bits = max(8, math.ceil(math.log2(params.room * max(2, vectors.count()))))
     marked = freeze(spark, hashed(vectors, bits, params, (id_column, vector_column, label_column)), "hashed")
-    kind = vectors.schema[id_column].dataType.simpleString()
     usable = marked.filter("d1 is not null and id is not null")
-    classes = freeze(spark, usable.groupBy("d1", "d2").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")),
-                     "classes")
-    # One row per class: the row of its least id.
-    ones = usable.join(classes.select("d1", "d2", F.col("node").alias("id"), "copies"), ["d1", "d2", "id"])
+    # Written with its numbers, which hold from there on.
+    classes = freeze(spark, usable.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+                     .withColumn("node", F.monotonically_increasing_id()), "classes")
+    # One row per class: a row of its least id.
+    ones = usable.join(classes, ["d1", "d2", "id"]).select("node", "copies", "label", "vec", "keys").dropDuplicates(["node"])
+    ones = freeze(spark, ones, "class-rows")
     per_table = 1 + params.probes
-    rows = ones.select("id", F.posexplode("keys").alias("pos", "key")).select(
-        "id", "key", (F.col("pos") % per_table == 0).alias("lives"))
+    rows = ones.select("node", F.posexplode("keys").alias("pos", "key")).select(
+        "node", "key", (F.col("pos") % per_table == 0).alias("lives"))
     # Written before it is joined, so that the join can split hot buckets.
     least = freeze(spark, rows.groupBy("key").agg(
-        F.min(F.when(F.col("lives"), F.col("id"))).alias("least"), F.min("id").alias("low"), F.max("id").alias("high"))
+        F.min(F.when(F.col("lives"), F.col("node"))).alias("least"), F.min("node").alias("low"), F.max("node").alias("high"))
         .filter("least is not null and low < high").select("key", "least"), "least")
-    ties = freeze(spark, rows.join(least, "key").filter("id <> least").select("least", "id").distinct(), "ties")
-    members = connected_components(ties, "least", "id")
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    placed = freeze(spark, members.join(sizes, "component").select(
-        F.col("node").alias("id"), F.col("component").alias("cluster"),
-        F.ceil(F.col("size") / params.block).cast("int").alias("blocks")), "clusters")
-    held = ones.select("id", "copies", "vec").dropDuplicates(["id"]).join(placed, "id")
-    held = (held.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("pair", F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other"))
-            .select("cluster", "pair", "own", "id", "copies", "vec"))
-    arrow_kind = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    compared = freeze(spark, held.repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
-                      .mapInArrow(_compare(params.least_cosine, arrow_kind), f"x {kind}, y {kind}, n bigint"), "compared")
+    ties = freeze(spark, rows.join(least, "key").filter("node <> least").select("least", "node").distinct(), "ties")
+    compared = freeze(spark, _compared(ones, connected_components(ties, "least", "node"), params), "compared")
     links = compared.filter("y is null").groupBy(F.col("x").alias("node")).agg(F.sum("n").alias("n"))
-    component = connected_components(compared.filter("y is not null"), "x", "y")
-    of_class = (classes.join(links, "node", "left").join(component, "node", "left")
+    linked = freeze(spark, connected_components(compared.filter("y is not null"), "x", "y").join(
+        classes.select("node", "id"), "node"), "linked")
+    names = freeze(spark, linked.groupBy("component").agg(F.min("id").alias("found")), "names")
+    of_class = (classes.join(links, "node", "left").join(linked.join(names, "component").select("node", "found"), "node", "left")
                 .select("d1", "d2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"),
-                        F.coalesce("component", "node").alias("found")))
+                        F.coalesce("found", "id").alias("found")))
     out = marked.select("id", "d1", "d2").join(of_class, ["d1", "d2"], "left")
     known = F.col("id").isNotNull()
     return (out.select(F.col("id").alias(id_column),

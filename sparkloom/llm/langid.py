@@ -2,9 +2,10 @@
 gradient descent, with calibrated rejection.
 
 A text is the bag of the hashed character n-grams (with word edges) of its words (runs of letters, lower
-case). The mean of their embeddings goes through a linear softmax to language probabilities. Null texts and texts without a letter are `und`, score 0.
-Texts whose calibrated probability is under the rejection bound keep their likeliest language and are
-marked as not accepted.
+case). The mean of their embeddings goes through a linear softmax to language probabilities. Null texts and texts
+without a letter are `und`, score 0, and so are all texts if there was nothing to learn from (an empty table, or one
+without a language or a letter). Texts whose calibrated probability is under the rejection bound keep their likeliest
+language and are marked as not accepted. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import map_batches, texts_of
+from sparkloom.scratch import freeze
 
 NO_LETTERS = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
@@ -29,7 +31,6 @@ class LangParams:
     dim: int = 16
     longest: int = 4
     per_language: int = 1500
-    subwords_per_sample: int = 1500
     epochs: int = 5
     batch: int = 32
     rate: float = 2.0
@@ -74,7 +75,20 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def fit(samples: list[np.ndarray], target: np.ndarray, languages: list[str], params: LangParams) -> LangModel:
+def no_languages(params: LangParams) -> LangModel:
+    return LangModel([], np.zeros((1 << params.bits, 0), np.float32), np.zeros(0, np.float32), 1.0, 1.0, params)
+
+
+@dataclass
+class Bag:
+    """The n-grams of a whole text: distinct buckets with the share of each, and its first n-grams in order."""
+
+    buckets: np.ndarray
+    shares: np.ndarray
+    head: np.ndarray
+
+
+def fit(samples: list[Bag], target: np.ndarray, languages: list[str], params: LangParams) -> LangModel:
     """SGD with a linearly falling rate; every tenth sample only calibrates temperature and rejection."""
     draw = np.random.default_rng(11)
     embedding = draw.normal(0, 1 / params.dim, (1 << params.bits, params.dim)).astype(np.float32)
@@ -91,19 +105,20 @@ def fit(samples: list[np.ndarray], target: np.ndarray, languages: list[str], par
         draw.shuffle(learn)
         for start in range(0, len(learn), params.batch):
             rows = learn[start:start + params.batch]
-            sizes = np.array([len(samples[i]) for i in rows])
-            flat, owner = np.concatenate([samples[i] for i in rows]), np.repeat(np.arange(len(rows)), sizes)
-            mean = np.add.reduceat(embedding[flat], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+            sizes = np.array([len(samples[i].buckets) for i in rows])
+            flat, owner = np.concatenate([samples[i].buckets for i in rows]), np.repeat(np.arange(len(rows)), sizes)
+            share = np.concatenate([samples[i].shares for i in rows])[:, None]
+            mean = np.add.reduceat(embedding[flat] * share, np.cumsum(sizes) - sizes, axis=0)
             error = _softmax(mean @ soft + bias)
             error[np.arange(len(rows)), target[rows]] -= 1
             error *= per_class[target[rows], None]
             rate = params.rate * (1 - done / total)
-            back = (error @ soft.T / sizes[:, None]).astype(np.float32)
+            back = (error @ soft.T).astype(np.float32)
             soft -= rate * mean.T @ error / len(rows)
             bias -= rate * error.mean(axis=0)
             order = np.argsort(flat, kind="stable")
             touched, first = np.unique(flat[order], return_index=True)
-            embedding[touched] -= rate * np.add.reduceat(back[owner[order]], first, axis=0)
+            embedding[touched] -= rate * np.add.reduceat(back[owner[order]] * share[order], first, axis=0)
             done += len(rows)
     logits = (embedding @ soft).astype(np.float32)
     temperature, accept = _calibrate([samples[i] for i in kept], target[kept], logits, bias, params)
@@ -117,9 +132,9 @@ def _calibrate(samples, target, logits, bias, params) -> tuple[float, float]:
         return 1.0, params.accept
     z, goal = [], []
     for found, y in zip(samples, target):
-        for cut in (40, 160, len(found)):
-            z.append(logits[found[:cut]].mean(axis=0) + bias)
-            goal.append(y)
+        z += [logits[found.head[:40]].mean(axis=0) + bias, logits[found.head[:160]].mean(axis=0) + bias,
+              found.shares @ logits[found.buckets] + bias]
+        goal += [y] * 3
     z, goal = np.array(z), np.array(goal)
     grid = np.geomspace(0.05, 20, 60)
     loss = [-np.log(_softmax(z / t)[np.arange(len(z)), goal] + 1e-12).mean() for t in grid]
@@ -134,46 +149,49 @@ def _calibrate(samples, target, logits, bias, params) -> tuple[float, float]:
 
 def train_langid(docs: DataFrame, learn_from: Column | None = None, params: LangParams = LangParams(),
                  id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> LangModel:
-    """Fit on at most `per_language` rows of each language, by hash of the id (the documented bound).
+    """Fit on at most `per_language` rows of each language, by hash of the id (the documented bound), and their whole
+    texts. `docs` is read twice, whatever the number of languages; an id that is repeated counts once for a language,
+    with the least of its texts. `learn_from` is a condition on the columns of `docs`.
 
-    Of a sampled text, up to `subwords_per_sample` n-grams spread over the whole text are learned from.
-    `learn_from` is a condition on the columns of `docs`. Raises ValueError when nothing can be learned.
+    Without a row to learn from the model knows no language, and every text is `und` with score 0.
     """
     rows = docs.filter(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
     if learn_from is not None:
         rows = rows.filter(learn_from)
-    counts = sorted((r[0], r[1]) for r in rows.groupBy(lang_column).count().collect())
-    picked = None
-    for lang, n in counts:
-        # A hash threshold with room for chance keeps the sort small; the limit sets the exact bound.
-        share = min(1.0, (1.3 * params.per_language + 100) / n)
-        lowest = F.pmod(F.xxhash64(id_column), F.lit(1 << 30)) < int(share * (1 << 30))
-        part = (rows.filter((F.col(lang_column) == lang) & lowest)
-                .select(F.col(id_column).alias("__id"), F.lit(lang).alias("__lang"))
-                .orderBy(F.xxhash64("__id"), "__id").limit(params.per_language))
-        picked = part if picked is None else picked.unionByName(part)
-    if picked is None:
-        raise ValueError("no rows with a text and a language to learn from")
-    sample = (rows.select(F.col(id_column).alias("__id"), F.col(lang_column).alias("__lang"),
-                          F.col(text_column).alias("text"))
-              .join(F.broadcast(picked), ["__id", "__lang"]))
+    counts = {r[0]: r[1] for r in rows.groupBy(lang_column).count().collect()}  # a row per language
+    if not counts:
+        return no_languages(params)
+    # A hash threshold with room for chance keeps what is ranked small; the rank sets the exact bound.
+    lowest = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (
+        lang, int(min(1.0, (1.3 * params.per_language + 100) / n) * (1 << 30)))])
+    place = F.xxhash64(id_column)
+    some = (rows.filter(F.pmod(place, F.lit(1 << 30)) < F.element_at(lowest, F.col(lang_column)))
+            .groupBy(F.col(id_column).alias("__id"), F.col(lang_column).alias("__lang"))
+            .agg(F.min(text_column).alias("text")))
+    ranked = Window.partitionBy("__lang").orderBy(F.xxhash64("__id"), "__id")
+    sample = freeze(docs.sparkSession, some.withColumn("__rank", F.row_number().over(ranked))
+                    .filter(F.col("__rank") <= params.per_language).drop("__rank"), "language-sample")
 
     def make():
         def fill(batch):
             found = [subwords(text, params) for text in texts_of(batch)]
-            found = [x[::max(1, -(-len(x) // params.subwords_per_sample))].astype(np.int32) for x in found]
-            return batch.column("__id"), batch.column("__lang"), found
+            bags = [np.unique(x, return_counts=True) for x in found]
+            return (batch.column("__id"), batch.column("__lang"), [b[0].astype(np.int32) for b in bags],
+                    [(b[1] / max(1, b[1].sum())).astype(np.float32) for b in bags],
+                    [x[:160].astype(np.int32) for x in found])
         return fill
 
-    got = map_batches(sample, "id bigint, lang string, found array<int>", make).toArrow()
-    got = sorted(((i, l, np.asarray(x.values, np.int32)) for i, l, x in
-                  zip(got["id"].to_pylist(), got["lang"].to_pylist(), got["found"])), key=lambda r: (r[0], r[1]))
-    got = [r for r in got if len(r[2])]
-    if not got:
-        raise ValueError("no rows with a letter to learn from")
-    languages = sorted({r[1] for r in got})
-    target = np.array([languages.index(r[1]) for r in got])
-    return fit([r[2] for r in got], target, languages, params)
+    kind = sample.schema["__id"].dataType.simpleString()
+    got = map_batches(sample, f"id {kind}, lang string, buckets array<int>, shares array<float>, head array<int>",
+                      make).toArrow()
+    bags = [(i, l, Bag(np.asarray(b.values), np.asarray(s.values), np.asarray(h.values))) for i, l, b, s, h in
+            zip(got["id"].to_pylist(), got["lang"].to_pylist(), got["buckets"], got["shares"], got["head"])]
+    bags = sorted((r for r in bags if len(r[2].buckets)), key=lambda r: (r[0] is None, r[0], r[1]))
+    if not bags:
+        return no_languages(params)
+    languages = sorted({r[1] for r in bags})
+    target = np.array([languages.index(r[1]) for r in bags])
+    return fit([r[2] for r in bags], target, languages, params)
 
 
 class Predictor:
@@ -185,7 +203,7 @@ class Predictor:
 
     def __call__(self, text: str) -> tuple[str, float]:
         found = subwords(text, self.model.params)
-        if not len(found):
+        if not len(found) or not self.model.languages:
             return UNKNOWN, 0.0
         mean = np.array([c[found].mean(dtype=np.float64) for c in self._columns])
         z = (mean + self.model.bias) / self.model.temperature

@@ -23,10 +23,11 @@ from collections import defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import in_parts, map_batches, texts_of
+from sparkloom.scratch import freeze
 
 KINDS = ("email", "ip", "card", "phone")
 MOST_ATOMS = 12
@@ -326,35 +327,39 @@ def training_examples(found: list[tuple[str, str]], seed: int = 17) -> list[tupl
     return out
 
 
-def train_pii(docs: DataFrame, sample_rows: int = 2000, spans_kept: int = 200, text_column: str = "text") -> Weights:
-    """Fit the field on base spans and other numbers of about `sample_rows` texts (the documented bound) and
-    on a few made-up ones. At most `spans_kept` short strings of each kind reach the driver."""
-    rows = docs.count()
-    some = docs.select(F.col(text_column).alias("text"))
-    if rows:
-        some = some.sample(min(1.0, sample_rows / rows), seed=3)
+def train_pii(docs: DataFrame, sample_rows: int = 2000, spans_kept: int = 200, longest: int = 40,
+              text_column: str = "text") -> Weights:
+    """Fit the field on base spans and other numbers of `sample_rows` different texts, by hash of the text (the
+    documented bound), and on a few made-up ones. `docs` is read once beside its count. Of each kind, `spans_kept`
+    different strings of up to `longest` characters, by hash, are learned from and reach the driver.
+
+    Texts and strings are picked by what they are, so the files and partitions they lie in make no difference. Without
+    rows the made-up strings are learned from alone.
+    """
+    spark, rows = docs.sparkSession, docs.count()
+    place = F.xxhash64(text_column)
+    # A hash threshold with room for chance keeps the sort small; copies of a text count once.
+    share = min(1.0, (1.3 * sample_rows + 100) / max(1, rows))
+    some = (docs.select(F.col(text_column).alias("text"), place.alias("place"))
+            .filter(F.col("text").isNotNull() & (F.pmod("place", F.lit(1 << 30)) < int(share * (1 << 30))))
+            .groupBy("place").agg(F.min("text").alias("text")).orderBy("place").limit(sample_rows))
+    some = freeze(spark, some.select("text"), "pii-sample")
 
     def make():
-        left = {kind: spans_kept for kind in (*KINDS, "")}
-
         def fill(batch):
-            got = []
+            got = set()
             for text in texts_of(batch):
                 base = base_spans(text)
                 loose = [("", a, b) for a, b in regions(text, base)]
-                for kind, a, b in base + loose:
-                    if left[kind] and b - a <= 40 and not (kind == "" and len(_digits(text[a:b])) > 19):
-                        left[kind] -= 1
-                        got.append((kind, text[a:b]))
-            return list(zip(*got)) if got else [[], []]
+                got |= {(kind, text[a:b]) for kind, a, b in base + loose
+                        if b - a <= longest and not (kind == "" and len(_digits(text[a:b])) > 19)}
+            return list(zip(*sorted(got))) if got else [[], []]
         return fill
 
-    got = map_batches(some, "kind string, span string", make).groupBy("kind", "span").agg(F.min(F.lit(1)))
-    ranked = None
-    for kind in (*KINDS, ""):
-        part = got.filter(F.col("kind") == kind).orderBy(F.xxhash64("span"), "span").limit(spans_kept)
-        ranked = part if ranked is None else ranked.unionByName(part)
-    found = sorted((r.kind, r.span) for r in ranked.collect())
+    got = map_batches(some, "kind string, span string", make).distinct()
+    ranked = Window.partitionBy("kind").orderBy(F.xxhash64("span"), "span")
+    kept = got.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= spans_kept)
+    found = sorted((r.kind, r.span) for r in kept.collect())
     return fit(training_examples(found + made_up_spans(np.random.default_rng(23), 20)))
 
 

@@ -152,6 +152,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, learn_from: Column | None
     `learn_from` is a condition on `__id`. Without labelled rows the model scores 0.5 everywhere.
     """
     sample = labelled_sample(docs, labels, label, learn_from, per_class, (0, 1))
+    kind = sample.schema["__id"].dataType.simpleString()
 
     def make():
         features = Features()
@@ -161,7 +162,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, learn_from: Column | None
                     [features(t).astype(np.int32) for t in texts_of(batch)])
         return fill
 
-    got = map_batches(sample, "id bigint, label int, features array<int>", make).toArrow()
+    got = map_batches(sample, f"id {kind}, label int, features array<int>", make).toArrow()
     got = sorted(zip(got["id"].to_pylist(), got["label"].to_pylist(),
                      (np.asarray(x.values if x is not None else [], np.int32) for x in got["features"])),
                  key=lambda row: (row[0], row[1], len(row[2])))

@@ -238,6 +238,54 @@ def test_vectors_awkward_rows(spark):
     assert embed_dedup.near_vectors(df.filter("vec_id < 0")).collect() == []
 
 
+def test_vectors_of_a_mixed_cluster_are_compared_by_label_and_length(spark):
+    """As if all keys had fallen together: one cluster of two labels and two lengths, in one block and in several."""
+    draw = np.random.default_rng(4)
+    base = {("a", 4): draw.normal(0, 1, 4), ("b", 4): None, ("a", 8): draw.normal(0, 1, 8), ("c", 4): draw.normal(0, 1, 4)}
+    base["b", 4] = base["a", 4]  # equal vectors of different labels
+    rows = []
+    for (label, length), center in base.items():
+        for _ in range(6):
+            rows.append((len(rows), 1 + len(rows) % 3, label, (center + draw.normal(0, 0.01, length)).tobytes()))
+    ones = spark.createDataFrame([(n, c, l, bytearray(v)) for n, c, l, v in rows], "node bigint, copies bigint, label string, vec binary")
+    members = spark.createDataFrame([(r[0], 0) for r in rows], "node bigint, component bigint")
+    for block in (100, 7, 2):
+        got = embed_dedup._compared(ones, members, embed_dedup.PolytopeParams(block=block)).collect()
+        degree = Counter()
+        for r in got:
+            if r.y is None:
+                degree[r.x] += r.n
+        want = {n: sum(c2 for m, c2, l2, v2 in rows if m != n and l2 == l and len(v2) == len(v)) for n, _, l, v in rows}
+        assert degree == want
+        assert set(_components([r[0] for r in rows], [(r.x, r.y) for r in got if r.y is not None]).values()) == {0, 6, 12, 18}
+
+
+def test_vectors_of_a_repeated_id_are_judged_each(spark):
+    rows = [(1, [1.0, 0.0], 0), (2, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (3, [0.0, 1.01], 0), (3, [0.0, 1.01], 0), (9, [1.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = sorted(tuple(r) for r in embed_dedup.near_vectors(df).collect())
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (2, 2, 2, True), (3, 2, 2, False), (3, 2, 2, False), (9, 0, 9, True)]
+
+
+@pytest.mark.parametrize("vectors, least", [(10**5, 0.999), (10**7, 0.995), (10**9, 0.99)])
+def test_recall_of_the_hashing_stage(vectors, least):
+    """Pairs at exactly the threshold, with keys as long as for so many vectors: one of the two lives where the
+    other lives or probes."""
+    params, draw = embed_dedup.PolytopeParams(), np.random.default_rng(8)
+    x = draw.normal(0, 1, (3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = draw.normal(0, 1, x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    y = 0.98 * x + np.sqrt(1 - 0.98 ** 2) * side
+    bits = int(np.ceil(np.log2(params.room * vectors)))
+    keys = [embed_dedup.Hasher(64, bits, params)(v).reshape(len(v), params.tables, -1) for v in (x, y)]
+    meet = np.zeros(len(x), bool)
+    for a, b in (keys, keys[::-1]):
+        meet |= (a[:, :, :1] == b).any(axis=(1, 2))
+    assert meet.mean() >= least
+
+
 def test_hadamard_is_orthonormal():
     eye = embed_dedup.hadamard(np.eye(16))
     assert np.allclose(eye @ eye.T, np.eye(16)) and np.allclose(np.abs(eye), 0.25)

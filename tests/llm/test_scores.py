@@ -6,8 +6,9 @@ import duckdb
 import numpy as np
 import pytest
 
-from sparkloom.llm import langid, quality, queries, toxicity
-from sparkloom.llm.common import fit_platt, fold, sigmoid
+from pyspark.sql import functions as F
+from sparkloom.llm import langid, pii, quality, queries, toxicity
+from sparkloom.llm.common import fit_platt, sigmoid
 
 SF = "/root/testdata/sf0.01"
 
@@ -47,8 +48,43 @@ def test_language_awkward_rows(spark, awkward, no_docs, frame):
     assert langid.identify(no_docs, model).collect() == []
     odd = spark.createDataFrame([(1, "² ½ 12"), (2, "das haus")], "doc_id int, text string")
     assert [r.lang_pred for r in langid.identify(odd, model).orderBy("doc_id").collect()] == ["und", "de"]
-    with pytest.raises(ValueError):
-        langid.train_langid(no_docs.withColumn("lang", fold("doc_id", 2).cast("string")))
+    for nothing in (no_docs, spark.createDataFrame([(1, "12 34", "en"), (2, None, "de")], "doc_id int, text string, lang string"),
+                    spark.createDataFrame([("a", "the house", None)], "doc_id string, text string, lang string")):
+        model = langid.train_langid(nothing)
+        assert model.languages == [] and langid.identify(no_docs, model).collect() == []
+        assert {(r.lang_pred, r.score, r.accepted) for r in langid.identify(odd, model).collect()} == {("und", 0.0, False)}
+
+
+def test_models_do_not_depend_on_the_partitioning(spark):
+    """Samples are picked by hash of what they are, so 1 and 50 partitions give the same models; ids may be texts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang")
+    docs = docs.union(docs.filter("lang = 'en'").limit(50))
+    labels = spark.read.parquet(f"{SF}/labels.parquet").withColumn("doc_id", F.col("doc_id").cast("string"))
+    few = langid.LangParams(per_language=40, epochs=1, bits=12)
+    one, many = docs.coalesce(1), docs.repartition(50)
+    a, b = langid.train_langid(one, params=few), langid.train_langid(many, params=few)
+    assert a.languages == b.languages and (a.logits == b.logits).all()
+    (a, _), (b, _) = (quality.train_quality(d, labels, per_class=30) for d in (one, many))
+    assert (a.weights == b.weights).all() and a.scale == b.scale
+    a, b = (toxicity.train_toxicity(d, labels, per_class=100) for d in (one, many))
+    assert a.lexicon == b.lexicon and np.allclose(a.weights, b.weights)
+    assert pii.train_pii(one, 60, 20) == pii.train_pii(many, 60, 20)
+
+
+@pytest.mark.parametrize("key", ["op1_quality", "op2_language", "op5_toxicity", "op7_personal_data"])
+def test_query_on_an_empty_table(spark, tmp_path, key):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert queries.QUERIES[key](spark, str(tmp_path)).collect() == []
+
+
+def test_toxic_documents_are_found_among_held_out_ones(spark):
+    """Recall and precision of class 1 at the threshold, on the largest of the given tables."""
+    sf = "/root/testdata/sf0.1"
+    known = dict(duckdb.sql(f"select doc_id, toxic from '{sf}/labels.parquet' where toxic is not null").fetchall())
+    rows = [r for r in queries.QUERIES["op5_toxicity"](spark, sf).collect() if r.held_out and r.doc_id in known]
+    caught = [known[r.doc_id] for r in rows if r.predicted]
+    assert np.mean(caught) >= 0.95 and sum(caught) >= 0.9 * sum(known[r.doc_id] for r in rows)
 
 
 def test_quality_awkward_rows(spark, awkward, no_docs):
@@ -84,6 +120,9 @@ def test_grammar_weighs_targets_denials_and_reports():
     assert total("they burn wood") > total("we burn wood") > 0
     assert total("nothing here") == 0 and total("") == 0
     assert total("a fool. a fool.") == pytest.approx(plain)
+    assert total("a fool came by. so it is a fool") == pytest.approx(2 * plain)
+    assert reader.clauses("one. you fool, you fool! two three\n") == ([pytest.approx(2 * 2.0 * 1.25)], 3, 7)
+    assert reader("a fool. and a fool. one more fool")[5] > reader("a fool. some more. one more")[5] > 0
 
 
 def test_dual_coordinate_descent_separates():
