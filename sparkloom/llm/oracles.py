@@ -104,7 +104,67 @@ MIXING = r"""
         budget // source_size * size + greatest(0, least(size, budget % source_size - before)) end)::bigint as taken
     from placed"""
 
+def components_sql(nodes: str, links: str, node: str) -> str:
+    """CTEs `both` and `part` (node, component) over the relations `nodes` (node) and `links` (x, y)."""
+    return f"""both_ways as (select x, y from {links} union select y, x from {links}),
+    reach(node, seen) as (select {node}, {node} from {nodes}
+                          union select r.node, b.y from reach r join both_ways b on r.seen = b.x),
+    part as (select node, min(seen) as component from reach group by node)"""
+
+
+EMBEDDINGS = f"""
+    with recursive usable as materialized (
+        select vec_id, label, embedding::double[] as v from embeddings
+        where label is not null and {_FINITE} and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links as materialized (
+        select a.vec_id as x, b.vec_id as y from usable a join usable b
+        on a.label = b.label and a.vec_id < b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.98),
+    {components_sql('embeddings', 'links', 'vec_id')},
+    degree as (select x, count(*) as n from both_ways group by x)
+    select vec_id, coalesce(n, 0)::bigint as n_links, component as component_id, vec_id = component as kept
+    from embeddings join part on vec_id = part.node left join degree on vec_id = x"""
+
+MINHASH = rf"""
+    with recursive doc as materialized (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+    shingle as materialized (
+        select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+            else list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k + 2], ' ')) end) as s from doc),
+    size as materialized (select doc_id, count(*) as n from shingle group by doc_id),
+    common as (select a.doc_id as x, b.doc_id as y, count(*) as c from shingle a join shingle b
+               on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+    links as materialized (
+        select x, y from common join size a on a.doc_id = x join size b on b.doc_id = y
+        where 100 * c >= 85 * (a.n + b.n - c)),
+    {components_sql('doc', 'links', 'doc_id')}
+    select doc_id, coalesce(n, 0)::bigint as n_shingles, component as component_id, doc_id = component as kept
+    from doc join part on doc_id = part.node left join size using (doc_id)"""
+
+DECONTAMINATION = r"""
+    with doc_word as (
+        select doc_id, unnest(t) as w, unnest(range(len(t))) as i from (
+            select doc_id, string_split_regex(lower(text), '[^\p{L}\p{N}]+') as t from documents where text is not null)),
+    item as (
+        select item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as t
+        from benchmark where text is not null),
+    item_word as (
+        select item_id, len(t) as size, least(20, len(t)) as n, unnest(t) as w, unnest(range(len(t))) as j
+        from item where len(t) >= 8),
+    diagonal as materialized (
+        select doc_id, item_id, i - j as diag, any_value(size) as size, any_value(n) as n, list(j) as js
+        from doc_word join item_word using (w) group by 1, 2, 3 having 100 * count(*) >= 80 * any_value(n)),
+    placed as (select *, unnest(range(size - n + 1)) as s from diagonal),
+    scored as (select doc_id, item_id, n, diag + s as place, len(list_filter(js, lambda j: j >= s and j < s + n)) as agree
+               from placed),
+    best as (select doc_id, item_id, max(struct_pack(agree := agree, n := n, before := -place)) as b
+             from scored where 100 * agree >= 80 * n group by 1, 2)
+    select doc_id, item_id, b.agree::int as n_agree, b.n::int as n_compared, (-b.before)::int as doc_place from best"""
+
 ORACLES = {
+    "op6_embeddings": EMBEDDINGS,
+    "op8_minhash": MINHASH,
+    "op9_decontamination": DECONTAMINATION,
     "op11_vector_codes": vector_codes_sql(),
     "op12_centroids": centroids_sql(),
     "op13_mixing": MIXING,

@@ -1,0 +1,126 @@
+"""The registered corpus queries, digest columns and all, against SQL, the libraries and brute force."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from check_oracle import compare, connect
+from tests.llm.test_duplicates import _components, _families, _sets
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from sparkloom.llm import queries as llm_queries
+
+
+@pytest.fixture(scope="module")
+def texts(sf_dir):
+    rows = duckdb.sql(f"select doc_id, text from '{sf_dir}/documents.parquet'").fetchall()
+    return {i: t or "" for i, t in rows}
+
+
+@pytest.mark.parametrize("key", ["op6_embeddings", "op8_minhash", "op9_decontamination"])
+def test_query_equals_sql(key, spark, sf_dir):
+    df = llm_queries.QUERIES[key](spark, sf_dir)
+    assert compare(connect(sf_dir), llm_queries.ORACLES[key], df) is None
+
+
+def test_token_counts_equal_the_library(spark, sf_dir, texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in llm_queries.QUERIES["op3_token_counts"](spark, sf_dir).collect()}
+    counts = {i: len(library.encode(t)) for i, t in texts.items()}
+    assert got == {i: (len(t.encode()), counts[i], counts[i] > 4096) for i, t in texts.items()}
+
+
+def test_repeats_equal_brute_force(spark, sf_dir, texts):
+    raw = {i: t.encode() for i, t in texts.items()}
+    seen = Counter(b[k:k + 400] for b in raw.values() for k in range(len(b) - 399))
+    got = {r.doc_id: r for r in llm_queries.QUERIES["op4_repeats"](spark, sf_dir).collect()}
+    assert len(got) == len(raw)
+    for i, b in raw.items():
+        gone = np.zeros(len(b) + 1, np.int32)
+        for k in range(len(b) - 399):
+            if seen[b[k:k + 400]] > 1:
+                gone[k] += 1
+                gone[k + 400] -= 1
+        covered = np.cumsum(gone)[:-1] > 0
+        kept = bytes(np.frombuffer(b, np.uint8)[~covered])
+        spans = int((np.diff(covered.astype(int), prepend=0) == 1).sum())
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == (
+            len(b), int(covered.sum()), spans, hashlib.sha256(kept).hexdigest())
+
+
+# The base patterns of the contract, as fixed values.
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _holds(kind, text):
+    digits = re.sub(r"[^0-9]", "", text)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in text.split("."))
+    if kind == "phone":
+        return 9 <= len(digits) <= 15
+    if kind == "card":
+        doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+        return 13 <= len(digits) <= 19 and sum(x - 9 * (x > 9) for x in doubled) % 10 == 0
+    return True
+
+
+def test_base_spans_equal_the_patterns(spark, sf_dir, texts):
+    rows = llm_queries.QUERIES["op7_personal_data"](spark, sf_dir).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        base = [f"{kind}:{m.start()}:{m.end()}" for kind, pattern in BASE.items()
+                for m in re.finditer(pattern, texts[r.doc_id]) if _holds(kind, m[0])]
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        counts = Counter(b.split(":")[0] for b in base)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(counts[k] for k in BASE)
+        spans = r.spans.split(",") if r.spans else []
+        assert set(base) <= set(spans)
+        order = [(list(BASE).index(k), int(a), int(b)) for k, a, b in (s.split(":") for s in spans)]
+        assert order == sorted(order) and all(0 <= a < b <= len(texts[r.doc_id]) for _, a, b in order)
+
+
+def test_packed_pieces_are_whole(spark, sf_dir, texts):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in llm_queries.QUERIES["op10_packing"](spark, sf_dir).collect():
+        pieces[r.doc_id].append(r)
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert set(pieces) == set(texts)
+    total = 0
+    for i, t in texts.items():
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        total += len(ids)
+        at = 0
+        for k, r in enumerate(sorted(pieces[i], key=lambda r: r.piece)):
+            part = np.array(ids[at:at + r.length], "<u4").tobytes()
+            assert (r.piece, r.start, r.ids_crc32) == (k, at, zlib.crc32(part))
+            assert r.length == 1024 or k == 0
+            at += r.length
+        assert at == len(ids) and len(pieces[i]) == -(-len(ids) // 1024)
+    for held in sequences.values():
+        held.sort()
+        assert [o for o, _ in held] == list(np.cumsum([0, *[n for _, n in held]])[:-1]) and sum(n for _, n in held) <= 1024
+    assert len(sequences) <= 1.02 * total / 1024 + 2
+
+
+def test_near_duplicate_stage_equals_brute_force(spark, frame):
+    docs = _families()
+    sets = _sets(docs, 5)
+    ids = sorted(docs)
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:]
+             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    component = _components(ids, links)
+    kept = corpus_pipeline.near_duplicates(spark, frame(docs.items()), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, c in component.items() if i == c)
