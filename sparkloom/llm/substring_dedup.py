@@ -15,7 +15,10 @@ buckets first, and only buckets that can hold a repeat are sorted, one block of
    block of buckets at a time. Long ties are resolved by ranks of a cover sample: places whose number modulo 7
    is 0, 1 or 3 (any two places have a common distance under 7 to such places) are ranked by prefix doubling up
    to nearly the whole length; head, rank and tail then order two suffixes. Memory is bounded by the block.
-   A bucket above the block's size is split down to single starts, counted by hash with partial sums.
+   A bucket with more stretches than a block takes is divided first: its strings are grouped by how far into them the
+   picked bytes lie, `widths` places to a group, and all bytes that the strings of a group have in common name a
+   finer bucket, which goes through steps 2 and 3 in turn. Equal strings are in one group and agree in all bytes, so
+   none are parted. Groups of one place leave only equal strings in a bucket, so the division ends.
 4. The starts found meet their text, which gives the covered bytes.
 
 Defined results: null is empty; texts under `length` bytes lose nothing; equal rows lose the same bytes (their
@@ -24,6 +27,7 @@ strings start in the other row too). Rows are told apart by id and hash of the t
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,6 +53,7 @@ class RepeatParams:
     probe: int = 128
     block_bytes: int = 3_000_000
     hot_stretches: int = 5_000  # distinct stretches of a bucket that one block takes
+    widths: tuple[int, ...] = (16, 1)  # places to a group when such a bucket is divided, and divided again
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -217,6 +222,8 @@ def _sort_blocks(params: RepeatParams, id_type: pa.DataType):
 
 # --- The operator ----------------------------------------------------------------------------------
 
+_PICKS = "id {kind}, h bigint, first bigint, last bigint, before int, bucket bigint, stretch bigint"
+
 
 def _raw(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
@@ -242,14 +249,39 @@ def picks_of(docs: DataFrame, params: RepeatParams, kind: str) -> DataFrame:
                     before, bucket.view(np.int64), stretch.view(np.int64))
         return fill
 
-    return map_batches(docs, f"id {kind}, h bigint, first bigint, last bigint, before int, bucket bigint, "
-                             "stretch bigint", make)
+    return map_batches(docs, _PICKS.format(kind=kind), make)
 
 
-def repeated_runs(docs: DataFrame, params: RepeatParams, kind: str) -> DataFrame:
-    """(id, h, first, last): ranges of starts of repeated strings of `docs` (id, h, text)."""
+def finer_picks(stretches: DataFrame, params: RepeatParams, width: int, kind: str) -> DataFrame:
+    """Picks as `picks_of` gives them, of the strings of the stretches, `width` places of the picked bytes to a group."""
+    def number(*parts: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(b"".join(parts), digest_size=8).digest(), "little", signed=True)
+
+    def make():
+        def fill(batch):
+            out = []
+            names = ("id", "h", "first", "last", "before", "bucket", "stretch")
+            for doc, h, first, last, before, bucket, raw in zip(*(batch.column(c).to_pylist() for c in names)):
+                for group in range((before - (last - first)) // width, before // width + 1):
+                    latest = before - group * width
+                    earliest = latest - width + 1
+                    low, high = max(0, earliest), min(last - first, latest)
+                    out.append((doc, h, first + low, first + high, before - low,
+                                number(b"%d %d " % (bucket, group), raw[latest:earliest + params.length]),
+                                number(raw[low:high + params.length])))
+            return list(zip(*out)) if out else [[]] * 7
+        return fill
+
+    return map_batches(stretches, _PICKS.format(kind=kind), make)
+
+
+def _settled(docs: DataFrame, picks: DataFrame, params: RepeatParams, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Runs of the picks that repeat in full, and the stretches that must be sorted, with their bytes.
+
+    A stretch comes with its bucket and the number `m` of different ones there.
+    """
     spark = docs.sparkSession
-    picks = freeze(spark, picks_of(docs, params, kind), "picks")
+    picks = freeze(spark, picks, "picks")
     # Written before it is joined: then both sides of the join are plain shuffles, whose hot keys Spark splits.
     several = freeze(spark, picks.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
                      .select("bucket"), "buckets")
@@ -273,7 +305,7 @@ def repeated_runs(docs: DataFrame, params: RepeatParams, kind: str) -> DataFrame
     mixed = (distinct.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least"))
              .filter("m > 1 and least = 1").select("bucket", "m"))
     asked = distinct.join(mixed, "bucket").select(
-        "id", "h", F.struct("bucket", "m", "first", "last", (F.col("n") == 1).alias("alone")).alias("ask"))
+        "id", "h", F.struct("bucket", "m", "first", "last", "before", (F.col("n") == 1).alias("alone")).alias("ask"))
     asked = asked.groupBy("id", "h").agg(F.collect_list("ask").alias("asks"))  # of one text: bounded by it
     with_text = docs.join(asked.withColumnsRenamed({"id": "__id", "h": "__h"}),
                           F.col("id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h"))).select(
@@ -285,39 +317,35 @@ def repeated_runs(docs: DataFrame, params: RepeatParams, kind: str) -> DataFrame
             for doc, h, text, asks in zip(*(batch.column(c).to_pylist() for c in ("id", "h", "text", "asks"))):
                 raw = _raw(text)
                 for a in asks:
-                    rows.append((a["bucket"], a["m"], doc, h, a["first"], a["last"], a["alone"],
+                    rows.append((a["bucket"], a["m"], doc, h, a["first"], a["last"], a["before"], a["alone"],
                                  raw[a["first"]:a["last"] + params.length]))
-            return list(zip(*rows)) if rows else [[]] * 8
+            return list(zip(*rows)) if rows else [[]] * 9
         return fill
 
-    stretches = freeze(spark, map_batches(
-        with_text, f"bucket bigint, m bigint, id {kind}, h bigint, first bigint, last bigint, alone boolean, "
+    return full, freeze(spark, map_batches(
+        with_text, f"bucket bigint, m bigint, id {kind}, h bigint, first bigint, last bigint, before int, alone boolean, "
                    "stretch binary", cut), "stretch-bytes")
-    arrow_kind = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    runs = f"id {kind}, h bigint, first bigint, last bigint"
-    fitting = (stretches.filter(F.col("m") <= params.hot_stretches).repartition("bucket")
-               .sortWithinPartitions("bucket").mapInArrow(_sort_blocks(params, arrow_kind), runs))
 
-    def single():
-        pick = Picker(params.length, params.probe)
 
-        def fill(batch):
-            columns = []
-            for doc, h, first, raw in zip(*(batch.column(c).to_pylist() for c in ("id", "h", "first", "stretch"))):
-                raw = np.frombuffer(raw, np.uint8)
-                sums, starts = pick.sums(raw), np.arange(len(raw) - params.length + 1)
-                name = pick.hashes(sums, starts, starts + params.length)
-                head = pick.hashes(sums, starts, starts + params.length // 2)
-                columns.append((np.full(len(starts), doc), np.full(len(starts), h), starts + first,
-                                name.view(np.int64), head.view(np.int64)))
-            return [np.concatenate(c) for c in zip(*columns)] if columns else [[]] * 5
-        return fill
-
-    split = map_batches(stretches.filter(F.col("m") > params.hot_stretches),
-                        f"id {kind}, h bigint, start bigint, name bigint, head bigint", single)
-    named = split.groupBy("name", "head").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", "head")
-    hot = split.join(named, ["name", "head"]).select("id", "h", F.col("start").alias("first"), F.col("start").alias("last"))
-    return full.unionByName(fitting).unionByName(hot)
+def repeated_runs(docs: DataFrame, params: RepeatParams, kind: str) -> DataFrame:
+    """(id, h, first, last): ranges of starts of repeated strings of `docs` (id, h, text)."""
+    arrow_kind = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+    picks, runs = picks_of(docs, params, kind), None
+    for width in (*params.widths, None):
+        full, stretches = _settled(docs, picks, params, kind)
+        hot = stretches.filter(F.col("m") > params.hot_stretches)
+        if width is None or hot.isEmpty():
+            hot = None
+        else:
+            stretches = stretches.filter(F.col("m") <= params.hot_stretches)
+        sorted_runs = stretches.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _sort_blocks(params, arrow_kind), f"id {kind}, h bigint, first bigint, last bigint")
+        found = full.unionByName(sorted_runs)
+        runs = found if runs is None else runs.unionByName(found)
+        if hot is None:
+            break
+        picks = finer_picks(hot, params, width, kind)
+    return runs
 
 
 def remove_repeats(docs: DataFrame, params: RepeatParams = RepeatParams(), id_column: str = "doc_id",

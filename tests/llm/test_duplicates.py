@@ -154,10 +154,13 @@ def _repeat_texts():
                     57: "a" * 1000, 58: prose(7, 30), 59: prose(7, 30)}
 
 
-@pytest.mark.parametrize("hot", [5000, 1])
-def test_repeats_equal_brute_force(frame, hot):
+@pytest.mark.parametrize("hot, widths", [(5000, (16, 1)), (1, (16, 1)), (3, (16, 1)), (1, (7,))])
+def test_repeats_equal_brute_force(frame, hot, widths):
     texts = _repeat_texts()
-    params = substring_dedup.RepeatParams(length=60, probe=20, block_bytes=2000, hot_stretches=hot)
+    # A passage of 50 bytes with many neighbours on both sides, some of which come again.
+    for k in range(60):
+        texts[100 + k] = f"{prose(k % 23, 4)[-9:]} {'the same words between other ones, fifty bytes in.'} {prose(k % 17, 4)[:9]}"
+    params = substring_dedup.RepeatParams(length=60, probe=20, block_bytes=2000, hot_stretches=hot, widths=widths)
     got = substring_dedup.remove_repeats(frame(texts.items()), params).collect()
     want = _repeats(texts, 60)
     assert {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got} == want
@@ -174,6 +177,25 @@ def test_sorted_block_finds_equal_suffixes():
         assert substring_dedup.repeated_starts(raw, starts, length).tolist() == want
 
 
+def test_divided_buckets_part_no_equal_strings(frame):
+    raws = [(f"{a:03d}" * 9 + "x" * 45 + f"{b:03d}" * 9).encode() for a in range(3) for b in range(4)]
+    params = substring_dedup.RepeatParams(length=60, probe=20)
+    spark = frame([]).sparkSession
+    rows = spark.createDataFrame([(k, 0, 0, len(r) - 60, 30, 5, bytearray(r)) for k, r in enumerate(raws)],
+                                 "id bigint, h bigint, first bigint, last bigint, before int, bucket bigint, stretch binary")
+    for width in (16, 5, 1):
+        places: dict[bytes, set] = {}
+        seen = set()
+        for p in substring_dedup.finer_picks(rows, params, width, "bigint").collect():
+            assert p.last - p.first < width and p.first + p.before == 30
+            for start in range(p.first, p.last + 1):
+                assert (p.id, start) not in seen
+                seen.add((p.id, start))
+                places.setdefault(raws[p.id][start:start + 60] + b"%d" % (30 - start), set()).add(p.bucket)
+        assert seen == {(k, s) for k, r in enumerate(raws) for s in range(len(r) - 60 + 1)}
+        assert all(len(buckets) == 1 for buckets in places.values())
+
+
 def test_cover_holds_every_distance():
     cover, m = substring_dedup.COVER, substring_dedup.MODULUS
     assert {(a - b) % m for a in cover for b in cover} == set(range(m))
