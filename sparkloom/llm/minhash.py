@@ -8,9 +8,11 @@
    m * m tables: the minhash work is about the square root of what independent tables need. `m` follows from
    the similarity so that a pair at the threshold is missed with probability under 1 in 10,000.
 3. In each bucket all members are tied to the least one; the components of these ties are clusters of
-   candidates. A text is in one cluster, so its set is shipped once per pair of blocks of its cluster.
-4. Clusters are cut into blocks of bounded size; a task compares the full sets of two blocks and returns a
-   spanning forest of the true links. Their components are the result. All links inside a cluster count.
+   candidates.
+4. A cluster of at most `block` texts is compared whole, so the work is in proportion to the texts. A larger cluster
+   may be a chain of chance meetings: there only texts that meet in a bucket are compared, the tied ones first, and
+   what follows from these distances is not compared again (`set_links`). Both compare full sets. The components of
+   the links are the result.
 
 Words are runs of anything but ASCII white space, A-Z lower-cased. Defined results: texts with fewer words
 than a shingle have their whole sequence as one shingle; null texts and texts without words have an empty set
@@ -26,12 +28,12 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import broadcast_counted, in_parts, map_batches, texts_of
+from sparkloom.llm.common import broadcast_counted, map_batches, texts_of
 from sparkloom.llm.components import connected_components
+from sparkloom.llm.set_links import links_within, star_links
 from sparkloom.scratch import freeze
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -48,7 +50,7 @@ class MinHashParams:
     percent: int = 80  # least similarity in percent
     half: int = 2  # minhashes in a hash of a collection
     miss: float = 1e-4
-    block: int = 512  # texts of a block
+    block: int = 512  # texts that are compared with one another in a task
     broadcast_rows: int = 500_000  # candidates up to this number are broadcast to fetch their texts
 
     @property
@@ -148,89 +150,28 @@ def signatures(docs: DataFrame, params: MinHashParams, id_column: str, text_colu
                        + ", ".join(f"{n} bigint" for n in names), make)
 
 
-def candidate_ties(classes: DataFrame, m: int) -> DataFrame:
-    """Distinct (least, node) over all buckets of all m * m tables with more than one member."""
+def bucket_members(classes: DataFrame, m: int) -> DataFrame:
+    """(node, key): the buckets of all m * m tables that a class lies in."""
     keys = F.array(*[F.xxhash64(F.lit(i * m + j), f"a{i}", f"b{j}") for i in range(m) for j in range(m)])
-    rows = classes.select("node", F.explode(keys).alias("key"))
+    return classes.select("node", F.explode(keys).alias("key"))
+
+
+def candidate_ties(buckets: DataFrame) -> DataFrame:
+    """(least, node, shared): in how many buckets the least member of a node's buckets is which."""
     # Written before it is joined, so that the join can split hot buckets.
-    least = freeze(classes.sparkSession, rows.groupBy("key").agg(
+    least = freeze(buckets.sparkSession, buckets.groupBy("key").agg(
         F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "least"), "least")
-    return rows.join(least, "key").filter("node <> least").select("least", "node").distinct()
-
-
-def block_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """(i, j) edges of a spanning forest of the links among the sets; exact integer comparison.
-
-    Grows each component from a first member: each member is compared with all sets not yet reached, by one
-    pass over their shingles.
-    """
-    edges: list[tuple[int, int]] = []
-    if len(sets) < 2:
-        return edges
-    sizes = np.array([len(s) for s in sets])
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    own = np.split(codes, np.cumsum(sizes)[:-1])
-    marks = np.zeros(int(codes.max()) + 1, np.int32)
-    left = np.arange(len(sets))
-    flat, starts = codes, np.cumsum(sizes) - sizes
-    alive = np.ones(len(sets), bool)
-    queue: list[int] = []
-    dirty = 0
-    while alive.any():
-        if not queue:
-            queue = [int(np.flatnonzero(alive)[0])]
-            alive[queue[0]] = False
-        pivot = queue.pop()
-        dirty += 1
-        if dirty == 1 or alive.sum() * 2 < len(left):  # keep only what is left to reach
-            left = np.flatnonzero(alive)
-            if not len(left):
-                break
-            flat = np.concatenate([own[k] for k in left])
-            starts = np.cumsum(sizes[left]) - sizes[left]
-        marks[own[pivot]] = 1
-        common = np.add.reduceat(marks[flat], starts)
-        marks[own[pivot]] = 0
-        union = sizes[left] + sizes[pivot] - common
-        for k in left[alive[left] & (100 * common >= percent * union)]:
-            alive[k] = False
-            queue.append(int(k))
-            edges.append((pivot, int(k)))
-    return edges
-
-
-def _forests(percent: int):
-    """Streams rows sorted by (cluster, pair); holds the sets of one pair of blocks at a time."""
-    def run(batches):
-        key, nodes, sets = None, [], []
-
-        def close():
-            edges = block_forest(sets, percent)
-            if edges:
-                yield pa.RecordBatch.from_arrays([pa.array([nodes[i] for i, _ in edges], pa.int64()),
-                                                  pa.array([nodes[j] for _, j in edges], pa.int64())], names=["x", "y"])
-
-        for batch in in_parts(batches):
-            for cluster, pair, node, found in zip(batch.column("cluster").to_pylist(),
-                                                  batch.column("pair").to_pylist(), batch.column("node").to_pylist(),
-                                                  batch.column("shingles").to_pylist()):
-                if (cluster, pair) != key:
-                    yield from close()
-                    key, nodes, sets = (cluster, pair), [], []
-                nodes.append(node)
-                sets.append(np.frombuffer(found, np.uint64))
-        yield from close()
-    return run
-
-
-def verified_links(docs: DataFrame, classes: DataFrame, members: DataFrame, params: MinHashParams, id_column: str,
-                   text_column: str) -> DataFrame:
-    """(x, y): links, enough to connect all that are linked, inside the clusters of `members` (node, component)."""
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    return buckets.join(least, "key").filter("node <> least").groupBy("least", "node").agg(F.count(F.lit(1)).alias("shared"))
+
+
+def shingle_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, params: MinHashParams, id_column: str,
+                 text_column: str) -> DataFrame:
+    """(node, cluster, large, shingles) of the classes in `members` (node, component); written."""
+    spark = docs.sparkSession
+    sizes = freeze(spark, members.groupBy("component").agg((F.count(F.lit(1)) > params.block).alias("large")), "cluster-sizes")
     placed = members.join(sizes, "component").join(classes.select("node", "id", "d1", "d2"), "node").select(
-        "id", "node", "d1", "d2", F.col("component").alias("cluster"),
-        F.ceil(F.col("size") / params.block).cast("int").alias("blocks"))
-    placed = broadcast_counted(freeze(docs.sparkSession, placed, "clusters"), params.broadcast_rows)
+        "id", "node", "d1", "d2", F.col("component").alias("cluster"), "large")
+    placed = broadcast_counted(freeze(spark, placed, "clusters"), params.broadcast_rows)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(placed, "id").drop("id")
 
     def make():
@@ -241,19 +182,25 @@ def verified_links(docs: DataFrame, classes: DataFrame, members: DataFrame, para
             asked = zip(batch.column("d1").to_pylist(), batch.column("d2").to_pylist())
             found = [f if tuple(digest(f).tolist()) == d else f[:0]
                      for f, d in zip(map(shingler, texts_of(batch)), asked)]
-            return (batch.column("node"), batch.column("cluster"), batch.column("blocks"), [len(f) for f in found],
-                    [f.tobytes() for f in found])
+            return batch.column("node"), batch.column("cluster"), batch.column("large"), [f.tobytes() for f in found]
         return fill
 
-    sets = map_batches(rows, "node bigint, cluster bigint, blocks int, n bigint, shingles binary", make).filter("n > 0")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = (sets.withColumn("own", block).withColumn("other", other)
-              .filter("own <> other or blocks = 1")
-              .withColumn("pair", F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
-              .select("cluster", "pair", "node", "shingles"))
-    together = paired.repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
-    return together.mapInArrow(_forests(params.percent), "x bigint, y bigint")
+    sets = map_batches(rows, "node bigint, cluster bigint, large boolean, shingles binary", make)
+    return freeze(spark, sets.filter(F.length("shingles") > 0), "sets")
+
+
+def verified_links(docs: DataFrame, classes: DataFrame, ties: DataFrame, params: MinHashParams, id_column: str,
+                   text_column: str) -> DataFrame:
+    """(x, y): links, enough to connect all classes that candidates link."""
+    members = freeze(docs.sparkSession, connected_components(ties, "least", "node"), "members")
+    sets = shingle_sets(docs, classes, members, params, id_column, text_column)
+    small, large = sets.filter(~F.col("large")), sets.filter("large").select("node", "shingles")
+    links = links_within(small.select(F.col("cluster").alias("unit"), F.lit(0).alias("part"), "node", "shingles"),
+                         params.percent)
+    if large.isEmpty():
+        return links
+    buckets = bucket_members(classes.join(large.select("node"), "node", "left_semi"), params.collection)
+    return links.unionByName(star_links(large, ties, buckets, params.percent, params.block))
 
 
 def _judged(docs: DataFrame, params: MinHashParams, id_column: str, text_column: str) -> DataFrame:
@@ -266,9 +213,8 @@ def _judged(docs: DataFrame, params: MinHashParams, id_column: str, text_column:
     classes = freeze(spark, with_set.groupBy("d1", "d2").agg(
         F.min("id").alias("id"), *[F.first(f"{c}{i}").alias(f"{c}{i}") for c in "ab" for i in range(m)])
         .withColumn("node", F.monotonically_increasing_id()), "classes")
-    ties = freeze(spark, candidate_ties(classes, m), "ties")
-    clusters = connected_components(ties, "least", "node")
-    links = freeze(spark, verified_links(docs, classes, clusters, params, id_column, text_column), "links")
+    ties = freeze(spark, candidate_ties(bucket_members(classes, m)), "ties")
+    links = freeze(spark, verified_links(docs, classes, ties, params, id_column, text_column), "links")
     linked = classes.select("node", "id", "d1", "d2").join(connected_components(links, "x", "y"), "node")
     linked = freeze(spark, linked.select("component", "node", "id", "d1", "d2"), "linked")
     first = freeze(spark, linked.groupBy("component").agg(F.min(F.struct("id", "d1", "d2")).alias("first")), "firsts")
