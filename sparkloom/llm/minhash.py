@@ -151,17 +151,18 @@ def signatures(docs: DataFrame, params: MinHashParams, id_column: str, text_colu
 
 
 def bucket_members(classes: DataFrame, m: int) -> DataFrame:
-    """(node, key): the buckets of all m * m tables that a class lies in."""
+    """(node, keys): the buckets of all m * m tables that a class lies in."""
     keys = F.array(*[F.xxhash64(F.lit(i * m + j), f"a{i}", f"b{j}") for i in range(m) for j in range(m)])
-    return classes.select("node", F.explode(keys).alias("key"))
+    return classes.select("node", keys.alias("keys"))
 
 
 def candidate_ties(buckets: DataFrame) -> DataFrame:
     """(least, node, shared): in how many buckets the least member of a node's buckets is which."""
+    rows = buckets.select("node", F.explode("keys").alias("key"))
     # Written before it is joined, so that the join can split hot buckets.
-    least = freeze(buckets.sparkSession, buckets.groupBy("key").agg(
+    least = freeze(buckets.sparkSession, rows.groupBy("key").agg(
         F.min("node").alias("least"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "least"), "least")
-    return buckets.join(least, "key").filter("node <> least").groupBy("least", "node").agg(F.count(F.lit(1)).alias("shared"))
+    return rows.join(least, "key").filter("node <> least").groupBy("least", "node").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def shingle_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, params: MinHashParams, id_column: str,

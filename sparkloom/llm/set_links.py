@@ -206,7 +206,9 @@ def _homes(sets: DataFrame, stars: DataFrame) -> DataFrame:
 def _bucket_units(buckets: DataFrame, homes: DataFrame, block: int) -> DataFrame:
     """(unit, part, node): centers that meet in a bucket, each set of centers once, cut into pairs of blocks."""
     spark = homes.sparkSession
-    inside = freeze(spark, buckets.join(homes, "node").select("key", F.col("center").alias("node")).distinct(), "inside")
+    # A row per node is joined; its buckets are listed after that.
+    inside = freeze(spark, buckets.join(homes, "node").select(
+        F.explode("keys").alias("key"), F.col("center").alias("node")).distinct(), "inside")
     units = freeze(spark, inside.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("s1"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2")).filter("size > 1")
@@ -240,7 +242,7 @@ def _member_units(near: DataFrame, homes: DataFrame, stars: DataFrame, percent:
 
 def star_links(sets: DataFrame, ties: DataFrame, buckets: DataFrame, percent: int, block: int) -> DataFrame:
     """(x, y): enough of the links between the sets that meet in a bucket. `ties` has (least, node, shared), the least
-    node of a node's buckets and in how many; `buckets` has (node, key), each once, and may hold other nodes."""
+    node of a node's buckets and in how many; `buckets` has (node, keys), each node once, and may hold other nodes."""
     spark = sets.sparkSession
     stars = _stars(sets, ties, percent, block)
     homes = _homes(sets, stars)

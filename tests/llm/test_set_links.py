@@ -4,6 +4,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.test_duplicates import _components
 
 from sparkloom.llm import minhash, set_links
@@ -32,7 +33,7 @@ def _similar(a, b, percent):
 def _frames(spark, sets, buckets):
     rows = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "node bigint, shingles binary")
     members = spark.createDataFrame([(n, key) for key, nodes in buckets.items() for n in nodes], "node bigint, key bigint")
-    return rows, members
+    return rows, members.groupBy("node").agg(F.collect_list("key").alias("keys"))
 
 
 @pytest.mark.parametrize("percent, block, seed", [(80, 4, 1), (85, 100, 2), (80, 30, 3), (60, 7, 4)])
