@@ -7,13 +7,13 @@ longest path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.scratch import freeze
 
 
-def _point_at_minimum(directed: DataFrame) -> DataFrame:
+def _with_minimum(directed: DataFrame) -> DataFrame:
     """For each (u, v): (u, v, least neighbour or self of u).
 
     The minima are written first, so that the join can split the edges of a node with very many.
@@ -23,6 +23,19 @@ def _point_at_minimum(directed: DataFrame) -> DataFrame:
     return directed.join(least, "u")
 
 
+def _pairs(*ends: tuple[str, str]) -> Column:
+    return F.inline(F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in ends]))
+
+
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and one with a smaller neighbour has no larger one."""
+    sides = edges.select(F.inline(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above")))))
+    return (sides.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+            .filter("below > 1 or below = 1 and above = 1").isEmpty())
+
+
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): every node of an edge with the smallest node reachable from it.
 
@@ -34,21 +47,15 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
             .select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")))
     alone = ends.filter("u = v").select(F.col("u").alias("node")).distinct()
     now = freeze(spark, ends.filter("u <> v").distinct(), "edges")
-    mark = None
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (_point_at_minimum(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u <> v").distinct())
+    # Edges are written without repeats. In between, an edge gives one row in the large step, two in the small one.
+    while not _is_stars(now):
+        both = now.select(_pairs(("u", "v"), ("v", "u")))
+        large = freeze(spark, _with_minimum(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
         # u > v here: u's smaller neighbours and u itself point at the least of them.
-        small = _point_at_minimum(large)
-        star = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                .unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        star = _with_minimum(large).select(_pairs(("v", "m"), ("u", "m"))).filter("u <> v").distinct()
         now = freeze(spark, star, "edges")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
-            break
-        mark = tuple(seen)
-    found = (now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-             .unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")))
+    found = (now.select(F.inline(F.array(
+        F.struct(F.col("u").alias("node"), F.col("v").alias("component")),
+        F.struct(F.col("v").alias("node"), F.col("v").alias("component")))))
              .unionByName(alone.select("node", F.col("node").alias("component"))))
     return found.groupBy("node").agg(F.min("component").alias("component"))

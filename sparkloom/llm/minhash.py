@@ -9,10 +9,10 @@
    the similarity so that a pair at the threshold is missed with probability under 1 in 10,000.
 3. In each bucket all members are tied to the least one; the components of these ties are clusters of
    candidates.
-4. A cluster of at most `block` texts is compared whole, so the work is in proportion to the texts. A larger cluster
-   may be a chain of chance meetings: there only texts that meet in a bucket are compared, the tied ones first, and
-   what follows from these distances is not compared again (`set_links`). Both compare full sets. The components of
-   the links are the result.
+4. A cluster of at most `block` texts is compared whole, so the work is in proportion to the texts. In a larger one,
+   near copies of one text or a chain of chance meetings, texts are compared that share a rare difference from a
+   reference text, which all pairs do that link and are not linked by the reference (`difference_links`). Both compare
+   full sets. The components of the links are the result.
 
 Words are runs of anything but ASCII white space, A-Z lower-cased. Defined results: texts with fewer words
 than a shingle have their whole sequence as one shingle; null texts and texts without words have an empty set
@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.common import broadcast_counted, map_batches, texts_of
 from sparkloom.llm.components import connected_components
-from sparkloom.llm.set_links import links_within, star_links
+from sparkloom.llm.difference_links import difference_links
+from sparkloom.llm.set_links import links_within
 from sparkloom.scratch import freeze
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -195,13 +196,12 @@ def verified_links(docs: DataFrame, classes: DataFrame, ties: DataFrame, params:
     """(x, y): links, enough to connect all classes that candidates link."""
     members = freeze(docs.sparkSession, connected_components(ties, "least", "node"), "members")
     sets = shingle_sets(docs, classes, members, params, id_column, text_column)
-    small, large = sets.filter(~F.col("large")), sets.filter("large").select("node", "shingles")
+    small, large = sets.filter(~F.col("large")), sets.filter("large").select("cluster", "node", "shingles")
     links = links_within(small.select(F.col("cluster").alias("unit"), F.lit(0).alias("part"), "node", "shingles"),
                          params.percent)
     if large.isEmpty():
         return links
-    buckets = bucket_members(classes.join(large.select("node"), "node", "left_semi"), params.collection)
-    return links.unionByName(star_links(large, ties, buckets, params.percent, params.block))
+    return links.unionByName(difference_links(large, params.percent, params.block))
 
 
 def _judged(docs: DataFrame, params: MinHashParams, id_column: str, text_column: str) -> DataFrame:

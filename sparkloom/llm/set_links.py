@@ -90,44 +90,45 @@ def _shared_and_all(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return common, len(a) + len(b) - common
 
 
-def _units(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
-    """The rows of one (unit, part) at a time, of batches sorted by them; the last column as hashes."""
+def units_of(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], keyed: bool = False) -> Iterator:
+    """The rows of one (unit, part) at a time, of batches sorted by them; the last column as hashes. With `keyed`, the
+    unit is given before its rows."""
     key, held = None, []
     for batch in in_parts(batches):
         for row in zip(*(batch.column(c).to_pylist() for c in ("unit", "part", *columns))):
             if row[:2] != key:
                 if held:
-                    yield held
+                    yield (key[0], held) if keyed else held
                 key, held = row[:2], []
             held.append((*row[2:-1], np.frombuffer(row[-1], np.uint64)))
     if held:
-        yield held
+        yield (key[0], held) if keyed else held
 
 
-def _batch(rows: list[tuple], *kinds: pa.DataType) -> Iterator[pa.RecordBatch]:
+def link_batch(rows: list[tuple], *kinds: pa.DataType) -> Iterator[pa.RecordBatch]:
     if rows:
         names = ["x", "y", "distance"][:len(kinds)]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
-def _together(rows: DataFrame) -> DataFrame:
+def by_unit(rows: DataFrame) -> DataFrame:
     return rows.repartition("unit", "part").sortWithinPartitions("unit", "part")
 
 
 def links_within(rows: DataFrame, percent: int) -> DataFrame:
     """(x, y): a spanning forest of the links among the sets of each (unit, part) of `rows`."""
     def run(batches):
-        for held in _units(batches, ("node", "shingles")):
+        for held in units_of(batches, ("node", "shingles")):
             edges = block_forest([s for _, s in held], percent)
-            yield from _batch([(held[i][0], held[j][0]) for i, j in edges], pa.int64(), pa.int64())
+            yield from link_batch([(held[i][0], held[j][0]) for i, j in edges], pa.int64(), pa.int64())
 
-    return _together(rows.select("unit", "part", "node", "shingles")).mapInArrow(run, "x bigint, y bigint")
+    return by_unit(rows.select("unit", "part", "node", "shingles")).mapInArrow(run, "x bigint, y bigint")
 
 
 def _links_to_center(rows: DataFrame, percent: int) -> DataFrame:
     """(x, y, distance): the links of each unit's center with its nodes."""
     def run(batches):
-        for held in _units(batches, ("node", "leads", "shingles")):
+        for held in units_of(batches, ("node", "leads", "shingles")):
             name, center = next(((n, s) for n, leads, s in held if leads), (None, None))
             found = []
             for node, leads, one in held:
@@ -135,9 +136,9 @@ def _links_to_center(rows: DataFrame, percent: int) -> DataFrame:
                     common, union = _shared_and_all(center, one)
                     if 100 * common >= percent * union:
                         found.append((node, 1 - common / union))
-            yield from _batch([(name, n, d) for n, d in found], pa.int64(), pa.int64(), pa.float64())
+            yield from link_batch([(name, n, d) for n, d in found], pa.int64(), pa.int64(), pa.float64())
 
-    return _together(rows.select("unit", "part", "node", "leads", "shingles")).mapInArrow(
+    return by_unit(rows.select("unit", "part", "node", "leads", "shingles")).mapInArrow(
         run, "x bigint, y bigint, distance double")
 
 
@@ -147,7 +148,7 @@ def _links_of_centers(rows: DataFrame, percent: int) -> DataFrame:
     reach = 1 - percent / 100 + _SLACK
 
     def run(batches):
-        for held in _units(batches, ("node", "radius", "shingles")):
+        for held in units_of(batches, ("node", "radius", "shingles")):
             sets = [s for _, _, s in held]
             edges = block_forest(sets, percent)
             root = list(range(len(held)))
@@ -164,13 +165,13 @@ def _links_of_centers(rows: DataFrame, percent: int) -> DataFrame:
                                 common, union = _shared_and_all(one, another)
                                 if 1 - common / union <= far:
                                     out.append((node, other, 1 - common / union))
-            yield from _batch(out, pa.int64(), pa.int64(), pa.float64())
+            yield from link_batch(out, pa.int64(), pa.int64(), pa.float64())
 
-    return _together(rows.select("unit", "part", "node", "radius", "shingles")).mapInArrow(
+    return by_unit(rows.select("unit", "part", "node", "radius", "shingles")).mapInArrow(
         run, "x bigint, y bigint, distance double")
 
 
-def _slot(node: str, of: Column) -> Column:
+def slot(node: str, of: Column) -> Column:
     return F.pmod(F.xxhash64(node), of).cast("long")
 
 
@@ -184,7 +185,7 @@ def _stars(sets: DataFrame, ties: DataFrame, percent: int, block: int) -> DataFr
     parts = freeze(spark, strongest.groupBy("center").agg(
         F.ceil(F.count(F.lit(1)) / block).cast("long").alias("parts")), "parts")
     placed = (strongest.join(parts, "center")
-              .select(F.col("center").alias("unit"), _slot("node", F.col("parts")).alias("part"), "node",
+              .select(F.col("center").alias("unit"), slot("node", F.col("parts")).alias("part"), "node",
                       F.lit(False).alias("leads"))
               .unionByName(parts.select(F.col("center").alias("unit"), F.explode(
                   F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
@@ -214,7 +215,7 @@ def _bucket_units(buckets: DataFrame, homes: DataFrame, block: int) -> DataFrame
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2")).filter("size > 1")
         .groupBy("size", "s1", "s2").agg(F.min("key").alias("key"))
         .select("key", F.ceil(F.col("size") / block).cast("long").alias("blocks")), "units")
-    return (inside.join(units, "key").withColumn("own", _slot("node", F.col("blocks")))
+    return (inside.join(units, "key").withColumn("own", slot("node", F.col("blocks")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             .filter("own <> other or blocks = 1")
             .select(F.col("key").alias("unit"),
@@ -231,9 +232,9 @@ def _member_units(near: DataFrame, homes: DataFrame, stars: DataFrame, percent:
     sides = []
     for own, other in ("xy", "yx"):
         members = homes.select(F.col("center").alias(own), "node", F.col("distance").alias("off"))
-        slot, each = _slot("node", F.col(f"k{own}")), F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"k{other}") - 1))
+        place, each = slot("node", F.col(f"k{own}")), F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"k{other}") - 1))
         sides.append(pairs.join(members, own).filter(F.col("distance") <= F.lit(reach) + F.col("off") + F.col(f"r{other}"))
-                     .withColumn("own", slot).withColumn("other", each)
+                     .withColumn("own", place).withColumn("other", each)
                      .select(F.xxhash64("x", "y").alias("unit"),
                              (F.col("own" if own == "x" else "other") * F.col("ky")
                               + F.col("other" if own == "x" else "own")).alias("part"), "node"))

@@ -1,0 +1,93 @@
+"""Links inside large clusters by differences from a reference, against brute force; and what they cost."""
+
+import itertools
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tests.llm.test_duplicates import _components
+from tests.llm.test_set_links import _families, _similar
+
+from sparkloom.llm import difference_links, minhash
+
+
+def _rows(spark, sets, clusters):
+    return spark.createDataFrame([(c, k, bytearray(s.tobytes())) for k, (c, s) in enumerate(zip(clusters, sets))],
+                                 "cluster bigint, node bigint, shingles binary")
+
+
+def _brute(sets, clusters, percent):
+    return _components(range(len(sets)), [
+        (a, b) for a, b in itertools.combinations(range(len(sets)), 2)
+        if clusters[a] == clusters[b] and _similar(sets[a], sets[b], percent)])
+
+
+def _copies(seed, n, size=120, changes=9):
+    """Near copies of one set: each has a few runs of three elements replaced, so many are too far from it to link with it."""
+    draw = np.random.default_rng(seed)
+    base = draw.integers(1, 1 << 62, size, dtype=np.uint64)
+    sets = []
+    for _ in range(n):
+        one = base.copy()
+        for at in draw.integers(0, size - 3, draw.integers(0, changes)):
+            # One of a few other words at this place: copies may change alike.
+            one[at:at + 3] = np.random.default_rng((int(at), int(draw.integers(0, 3)))).integers(1, 1 << 62, 3, dtype=np.uint64)
+        sets.append(np.unique(one))
+    return sets
+
+
+@pytest.mark.parametrize("percent, block, sample, seed", [
+    (80, 4, 256, 1), (85, 100, 5, 2), (80, 30, 1, 3), (60, 7, 256, 4), (100, 9, 256, 5), (95, 8, 20, 6)])
+def test_every_link_of_a_cluster_counts(spark, monkeypatch, percent, block, sample, seed):
+    monkeypatch.setattr(difference_links, "SAMPLE", sample)
+    sets = _families(seed) + _copies(seed, 60) + [np.arange(1, 2 + k, dtype=np.uint64) for k in range(20)]
+    clusters = [k % 97 % 2 for k in range(len(sets))]
+    links = difference_links.difference_links(_rows(spark, sets, clusters), percent, block).collect()
+    assert all(_similar(sets[r.x], sets[r.y], percent) for r in links)
+    assert _components(range(len(sets)), [(r.x, r.y) for r in links]) == _brute(sets, clusters, percent)
+
+
+def test_no_sets_and_repeated_sets(spark):
+    sets = _copies(7, 30)
+    rows = _rows(spark, sets, [5] * 30)
+    assert difference_links.difference_links(rows.limit(0), 80, 4).collect() == []
+    twice = difference_links.difference_links(rows.unionByName(rows), 80, 4).collect()
+    assert _components(range(30), [(r.x, r.y) for r in twice]) == _brute(sets, [5] * 30, 80)
+
+
+def _listed(spark, sets, percent=85, block=512):
+    """Numbers of rows that are listed, and that are compared, for sets of one cluster."""
+    rows = _rows(spark, sets, [1] * len(sets))
+    sizes = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    found = difference_links.differences(rows, difference_links._models(rows, sizes), sizes, percent, block).cache()
+    groups = difference_links.listings(found, sizes, block)
+    listed = difference_links._listed(found)
+    return listed.count(), listed.join(groups, ["cluster", "token"]).agg(F.sum("blocks")).first()[0] or 0
+
+
+def test_rows_grow_with_the_copies_and_not_with_their_square(spark):
+    small, large = (_listed(spark, _copies(8, n)) for n in (400, 1600))
+    assert large[0] <= 5 * small[0] and large[1] <= 8 * small[1]
+    assert large[1] <= 30 * 1600
+
+
+def test_a_large_group_of_near_copies_gives_few_links(spark):
+    """Many copies, most of them too far from one another: the links found were several for each pair of stars."""
+    draw, words = np.random.default_rng(12), [f"w{k}" for k in range(110)]
+    texts = []
+    for _ in range(700):
+        one = list(words)
+        for at in draw.integers(0, 110, draw.integers(0, 9)):
+            one[at] = f"x{draw.integers(0, 4)}"
+        texts.append(" ".join(one))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    params = minhash.MinHashParams(words=3, percent=85, block=64)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, params).collect()}
+    sets = [minhash.Shingler(3)(t) for t in texts]
+    assert got == _brute(sets, [0] * 700, 85)
+    m = params.collection
+    classes = (minhash.signatures(docs, params, "doc_id", "text").groupBy("d1", "d2")
+               .agg(F.min("id").alias("id"), *[F.first(f"{c}{i}").alias(f"{c}{i}") for c in "ab" for i in range(m)])
+               .withColumn("node", F.col("id")))
+    ties = minhash.candidate_ties(minhash.bucket_members(classes, m))
+    assert minhash.verified_links(docs, classes, ties, params, "doc_id", "text").count() <= 5 * 700
