@@ -22,9 +22,10 @@ _PART = "__partition"
 _LOCAL_BITS = 33
 
 
-def global_row_number(df: DataFrame, order: list[Column | str], name: str = "rn") -> DataFrame:
-    """Number all rows from 1 in the given order, which should be total to be repeatable."""
-    ranged = (df.repartitionByRange(*order)
+def global_row_number(df: DataFrame, order: list[Column | str], name: str = "rn", ranges: int | None = None) -> DataFrame:
+    """Number all rows from 1 in the given order, which should be total to be repeatable; in the session's number of
+    partitions or in `ranges`."""
+    ranged = (df.repartitionByRange(*([ranges] if ranges else []), *order)
                 .sortWithinPartitions(*order)
                 .withColumn(_LOCAL, F.monotonically_increasing_id()))
     frozen = freeze(df.sparkSession, ranged, "row-number")

@@ -64,6 +64,16 @@ class Cuts:
         return -(-inside // self.per_file)
 
 
+def dealt_to_files(numbered: DataFrame, cuts: Cuts) -> DataFrame:
+    """Rows numbered from 1 by `__rn` with their `__slice` and `__file`, a partition for each file. Dealt by hash, several
+    files would meet in a task, the more the larger the table."""
+    number = F.col("__rn") - 1
+    slice_number = F.floor(number / F.lit(cuts.per_slice)).cast("int")
+    file_number = F.floor(F.pmod(number, F.lit(cuts.per_slice)) / F.lit(cuts.per_file)).cast("int")
+    return (numbered.withColumn("__slice", slice_number).withColumn("__file", file_number)
+            .repartitionById(cuts.slices * cuts.files, (F.col("__slice") * cuts.files + F.col("__file")).cast("int")))
+
+
 def stage_arrivals(df: DataFrame, ts: str, path: str, slices: int | None = None,
                    rows_per_file: int = ROWS_PER_FILE, order: Sequence[str] = ()) -> Arrivals:
     """Write the table as slices of equal numbers of rows, oldest first, so file times follow event times.
@@ -76,19 +86,16 @@ def stage_arrivals(df: DataFrame, ts: str, path: str, slices: int | None = None,
     """
     spark = df.sparkSession
     instants = as_instant(df, ts)
-    numbered = global_row_number(instants, [F.col(ts).asc_nulls_last(), *order], "__rn")
     rows = df.count()
     if not rows:
         instants.write.mode("append").parquet(path)
         return Arrivals(path, instants.schema, 1)
     cuts = Cuts(rows, slices or slices_for(rows), rows_per_file)
-    number = F.col("__rn") - 1
-    slice_number = F.floor(number / F.lit(cuts.per_slice))
-    file_number = F.floor((number - slice_number * cuts.per_slice) / F.lit(cuts.per_file))
+    # No task sorts or writes more rows than a file takes.
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_file))
+    numbered = global_row_number(instants, [F.col(ts).asc_nulls_last(), *order], "__rn", ranges)
     staged = new_dir(spark, "staged")
-    (numbered.select(*instants.columns, slice_number.cast("int").alias("__slice"), file_number.cast("int").alias("__file"))
-     .repartition(cuts.slices * cuts.files, "__slice", "__file")
-     .write.partitionBy("__slice", "__file").parquet(staged))
+    dealt_to_files(numbered, cuts).drop("__rn").write.partitionBy("__slice", "__file").parquet(staged)
     empty = new_dir(spark, "no-rows")
     spark.createDataFrame([], instants.schema).coalesce(1).write.parquet(empty)
     no_rows = [f for f in list_files(spark, empty) if f.path.endswith(".parquet")][0]

@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sparkloom.registry import table
-from sparkloom.streaming import control, custom, runner, stateful, table_source
+from sparkloom.streaming import control, custom, runner, staging, stateful, table_source
 from tests.test_streaming import NOON, one_file_per_batch, write_files
 
 
@@ -31,6 +31,17 @@ def test_repeats_within_the_delay_go_and_later_ones_come_back(spark, out, saltin
     assert sorted(r.k for r in runner.append_result(once).collect()) == ["a", "a", "b", "b", "c", "d"]
 
 
+# --- staging -------------------------------------------------------------------------------------------
+
+
+def test_every_staged_file_has_a_task_of_its_own(spark):
+    cuts = staging.Cuts(rows=480, slices=8, rows_per_file=10)
+    assert cuts.files == 6
+    dealt = staging.dealt_to_files(spark.range(1, 481).withColumnRenamed("id", "__rn"), cuts)
+    tasks = dealt.groupBy(F.spark_partition_id()).agg(F.count_distinct("__slice", "__file").alias("files"), F.count("__rn").alias("n"))
+    assert sorted((r.files, r.n) for r in tasks.collect()) == [(1, 10)] * 48
+
+
 # --- restart from a checkpoint -------------------------------------------------------------------------
 
 
